@@ -1,0 +1,6 @@
+"""Queries over the driver's tables, one or more for each operator, with the SQL that states their results."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE_SQL: dict = {}

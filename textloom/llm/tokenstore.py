@@ -36,7 +36,8 @@ from textloom.llm.words import SPACES, distinct_spans, flat, slices, split_bytes
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_ROWS = 400
-CACHE_ENTRIES = 300_000
+#: Pieces of one generation of an encoder's cache; two are held.
+CACHE_ENTRIES = 500_000
 #: White space beyond ASCII, and ASCII controls that some pattern engines count as white space; rare texts with these are encoded whole.
 ODD_SPACE = "[\x1c-\x1f\u0085   -     　]"
 
@@ -59,22 +60,44 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        # a symbol of a byte-level vocabulary is one byte; special tokens, which texts never yield, don't matter
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def pieces(self, raw: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each piece."""
-        missing = [p for p in raw if p not in self.cache]
-        if len(self.cache) + len(missing) > CACHE_ENTRIES:
-            self.cache.clear()
-            missing = raw
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
-                self.cache[p] = np.array(e.ids, np.uint32).tobytes()
-        return [self.cache[p] for p in raw]
+        """Little-endian unsigned 32-bit ids of each piece, through a cache of two generations."""
+        young, old = self.young, self.old
+        missing = []
+        for p in raw:
+            if p not in young:
+                known = old.get(p)
+                if known is None:
+                    missing.append(p)
+                else:
+                    young[p] = known
+        # blank-led words can be told apart again in one long text; everything else is encoded by itself
+        led = [p for p in missing if len(p) > 1 and p[0] == 0x20 and p[1] not in b" \t\n\v\f\r"]
+        for i in range(0, len(led), 4096):
+            some = led[i : i + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in some])) + 1
+            packed, at = ids.tobytes(), 0
+            for p, end in zip(some, (4 * cuts).tolist()):
+                young[p] = packed[at:end]
+                at = end
+        rest = list(set(missing).difference(led))
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)):
+            young[p] = np.array(e.ids, np.uint32).tobytes()
+        out = [young[p] for p in raw]
+        if len(young) > CACHE_ENTRIES:
+            self.old, self.young = young, {}
+        return out
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         odd = pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)

@@ -224,36 +224,49 @@ def train(texts: list[str], toxic: np.ndarray, order: int = 5) -> KneserNey | No
     """Models from half of the texts set the curve on the other half, and the other way round; the last models see all."""
     if not len(texts) or not 0 < toxic.sum() < len(toxic):
         return None
-    w = split(pa.array(texts, pa.large_string()), BREAKS, lower=True)
-    index, inverse = distinct_spans(w.data, w.starts, w.ends)
-    raw = w.data.tobytes()
-    words = [raw[a:b] for a, b in zip(w.starts[index].tolist(), w.ends[index].tolist())]
-    owner = w.owner()
+    parts = [split(p.column("text"), BREAKS, lower=True) for p in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), limit=1 << 20)]
     rank = np.zeros(len(toxic), int)
     for c in (0, 1):
         rank[toxic == c] = np.arange((toxic == c).sum())
     half = rank % 2
-
-    def counted(use: np.ndarray) -> KneserNey:
-        n = np.zeros((len(words), 2))
-        for c in (0, 1):
-            n[:, c] = np.bincount(inverse[(use & (toxic == c))[owner]], minlength=len(words))
+    # numbers of each word in the four groups of half and class, slice by slice
+    place: dict[bytes, int] = {}
+    numbers, lo = [], 0
+    for w in parts:
+        index, inverse = distinct_spans(w.data, w.starts, w.ends)
+        raw = w.data.tobytes()
+        own = np.array([place.setdefault(raw[a:b], len(place)) for a, b in zip(w.starts[index].tolist(), w.ends[index].tolist())], np.int64)
+        group = (2 * half + toxic)[lo : lo + len(w)][w.owner()]
+        here = np.zeros((len(index), 4))
+        np.add.at(here, (inverse, group), 1)
+        numbers.append((own, here))
+        lo += len(w)
+    table = np.zeros((len(place), 4))
+    for own, here in numbers:
+        table[own] += here
+    words = list(place)
+
+    def counted(halves: tuple[int, ...]) -> KneserNey:
+        n = sum(table[:, 2 * s : 2 * s + 2] for s in halves)
         some = n.sum(axis=1) > 0
         return estimate([x for x, ok in zip(words, some) if ok], n[some], order)
 
+    def measured(model: KneserNey) -> np.ndarray:
+        return np.concatenate([features(model, w) for w in parts])
+
     x, y = [], []
     for side in (0, 1):
         if len(set(toxic[half != side])) == 2 and (half == side).any():
-            x.append(features(counted(half != side), w)[half == side])
+            x.append(measured(counted((1 - side,)))[half == side])
             y.append(toxic[half == side])
-    model = counted(np.ones(len(toxic), bool))
+    model = counted((0, 1))
     if not x:
-        x, y = [features(model, w)], [toxic]
+        x, y = [measured(model)], [toxic]
     calibrate(model, np.concatenate(x), np.concatenate(y).astype(float))
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2000, max_ordinary: int = 2500, max_text_chars: int = 20_000) -> KneserNey | None:
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1000, max_ordinary: int = 1000, max_text_chars: int = 5_000) -> KneserNey | None:
     """Train on a bounded sample of labelled documents: about max_toxic and max_ordinary rows, of each at most max_text_chars."""
     marks = labels.select(F.col("doc_id").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     wanted = None

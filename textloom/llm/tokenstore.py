@@ -37,7 +37,7 @@ SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_ROWS = 400
 #: Pieces of one generation of an encoder's cache; two are held.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 #: White space beyond ASCII, and ASCII controls that some pattern engines count as white space; rare texts with these are encoded whole.
 ODD_SPACE = "[\x1c-\x1f\u0085   -     　]"
 
@@ -210,7 +210,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
             return pa.RecordBatch.from_pylist([row], SHARD)
 
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, limit=2 << 20):
                 for doc_id, tokens in zip(some.column("doc_id").to_pylist(), encoder(path).batch(some.column("text"))):
                     raw = np.append(tokens, np.uint32(end_id)).astype(dtype)
                     frames.append(pack.compress(raw.tobytes()))
@@ -223,6 +223,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
                         ids, counts, frames = [], [], []
         if frames:
             yield close()
+        encoder(path).old = {}  # the worker lives on
 
     parts = max(shuffle_partitions(spark), min(1 << 17, estimated_bytes(rows, 0) >> 27))
     ranged = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").drop("tie")

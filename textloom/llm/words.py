@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE, _SPREAD = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -103,7 +103,7 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if n <= 8 * SLICE_BYTES:
+        if n <= 5 << 20:
             _POWERS[name] = have
     return have[:n]
 

@@ -2,5 +2,393 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textloom.functions import clean, native, parsing, segment
+from textloom.operators import graphs, review, triples
+from textloom.plans import model_stage
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, d: f(lambda name: spark.read.parquet(f"{d}/{name}.parquet"))
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+# --- inputs that stand in for models' output
+
+STAR_SQL = """star AS (
+  SELECT c_nationkey::BIGINT AS graph_id, c_custkey * 2 AS pos, c_name AS s, 'lives_in' AS p, n_name AS o, c_acctbal, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT c_nationkey::BIGINT, c_custkey * 2 + 1, c_name, 'buys_for', c_mktsegment, c_acctbal, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey),
+gold AS (SELECT graph_id, pos, s, p, o FROM star),
+pred AS (SELECT graph_id, pos, s, p, CASE WHEN c_acctbal < 0 THEN c_mktsegment ELSE o END AS o FROM star)"""
+
+
+def star(t) -> DataFrame:
+    """Two facts of every customer, a graph per nation."""
+    c = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations
+    facts = F.posexplode(F.array(F.struct(F.lit("lives_in").alias("p"), F.col("n_name").alias("o")), F.struct(F.lit("buys_for").alias("p"), F.col("c_mktsegment").alias("o"))))
+    c = c.select(F.col("c_nationkey").cast("long").alias("graph_id"), "c_custkey", F.col("c_name").alias("s"), "c_acctbal", "c_mktsegment", facts.alias("k", "f"))
+    return c.select("graph_id", (F.col("c_custkey") * 2 + F.col("k")).alias("pos"), "s", "f.p", "f.o", "c_acctbal", "c_mktsegment")
+
+
+def gold_pred(t) -> tuple[DataFrame, DataFrame]:
+    rows = star(t)
+    wrong = F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.col("o"))
+    return rows.select("graph_id", "pos", "s", "p", "o"), rows.select("graph_id", "pos", "s", "p", wrong.alias("o"))
+
+
+# --- text functions
+
+DOCS_TRIPLES_SQL = r"""w AS (SELECT doc_id, lang, text, regexp_extract_all(text, '\p{Lu}[\p{L}\p{M}]*') AS w FROM documents),
+t AS (SELECT doc_id, lang, text, w[i] AS s, 'followed_by' AS p, w[i + 1] AS o FROM (SELECT *, unnest(range(1, len(w))) AS i FROM w))"""
+
+
+@query(f"WITH {DOCS_TRIPLES_SQL} SELECT lang, count(*) AS n_triples FROM (SELECT DISTINCT doc_id, lang, s, p, o FROM t WHERE contains(text, s) AND contains(text, o)) GROUP BY lang")
+def grounded_triples_by_lang(t):
+    found = triples.adjacent_name_triples(t("documents"))
+    return triples.distinct_in_order(triples.grounded(found).where("label = 'YES'").drop("text"), "doc_id", "lang").groupBy("lang").agg(F.count("*").alias("n_triples"))
+
+
+def _spans(name: str, pattern: str, sql_pattern: str) -> None:
+    def run(t):
+        found = native.spans(F.col("text"), pattern)
+        return t("documents").select("doc_id", F.size(found).cast("long").alias("n"), F.array_join(found, "|").alias("spans"))
+
+    run.__name__ = name
+    query(f"SELECT doc_id, len(f)::BIGINT AS n, array_to_string(f, '|') AS spans FROM (SELECT doc_id, regexp_extract_all(text, '{sql_pattern}') AS f FROM documents)")(run)
+
+
+_spans("number_spans", native.NUMBER, native.NUMBER)
+_spans("math_spans", native.MATH, native.MATH)
+_spans("capitalized_words", native.CAPITALISED, native.CAPITALISED)
+
+MATH_COUNTS_SQL = rf"SELECT doc_id, span, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(%s, '{native.MATH}')) AS span FROM documents) GROUP BY ALL"
+
+
+@query(f"SELECT a.doc_id, a.span, (a.n - coalesce(b.n, 0))::BIGINT AS missing FROM ({MATH_COUNTS_SQL % 'text'}) a LEFT JOIN ({MATH_COUNTS_SQL % 'substr(text, 1, length(text) // 2)'}) b USING (doc_id, span) WHERE a.n > coalesce(b.n, 0)")
+def missing_math_multiset(t):
+    """Formulas of each text that its first half lacks, with multiplicity."""
+    exploded = lambda c: t("documents").select("doc_id", F.explode(native.spans(c, native.MATH)).alias("span"))
+    half = F.substr(F.col("text"), F.lit(1), F.floor(F.length("text") / 2).cast("int"))
+    return review.multiset_difference(exploded(F.col("text")), exploded(half), "doc_id", "span")
+
+
+@query("SELECT doc_id, length(text)::BIGINT AS n_old, length(replace(text, ' the ', ' '))::BIGINT AS n_new, length(replace(text, ' the ', ' ')) BETWEEN 0.6 * length(text) AND 1.4 * length(text) AS ok FROM documents")
+def length_ratio_guard(t):
+    new = F.replace(F.col("text"), F.lit(" the "), F.lit(" "))
+    n = lambda c: F.length(c).cast("long")
+    return t("documents").select("doc_id", n("text").alias("n_old"), n(new).alias("n_new"), n(new).between(0.6 * n("text"), 1.4 * n("text")).alias("ok"))
+
+
+@query()
+def safe_correction(t):
+    """Whether dropping doubled words and stray blanks would be a safe correction, benchmark passages as texts."""
+    new = F.regexp_replace("text", r"\b(the|de|la) ", "")
+    return t("benchmark").select("item_id", parsing.safe_udf("text", new).alias("safe"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE contains(line, ':')),
+p AS (SELECT doc_id, i, trim(string_split(line, ':')[1]) AS relation, trim(substr(line, strpos(line, ':') + 1)) AS definition FROM l)
+SELECT doc_id, relation, arg_max(definition, i) AS definition FROM p WHERE relation <> 'Answer' GROUP BY doc_id, relation""")
+def relation_definition_parse(t):
+    return t("documents").select("doc_id", F.inline(native.relation_definitions(F.col("text"))))
+
+
+@query(r"SELECT conv_id, turn, CASE upper(regexp_extract(text, '(?i)^\s*(YES|NO|UNSURE)\s*[.!]?\s*$', 1)) WHEN '' THEN 'UNSURE' ELSE upper(regexp_extract(text, '(?i)^\s*(YES|NO|UNSURE)\s*[.!]?\s*$', 1)) END AS label FROM conversations")
+def judge_label_strict(t):
+    return t("conversations").select("conv_id", "turn", native.strict_judgment(F.col("text")).alias("label"))
+
+
+@query("SELECT conv_id, turn, NOT (contains(lower(substr(text, 1, 100)), 'no') OR contains(lower(substr(text, 1, 100)), 'false')) AS verdict FROM conversations")
+def judge_label_prefix(t):
+    return t("conversations").select("conv_id", "turn", native.prefix_judgment(F.col("text")).alias("verdict"))
+
+
+@query("""WITH x AS (SELECT l.quality = 1 AS y, NOT (contains(lower(substr(d.text, 1, 100)), 'no') OR contains(lower(substr(d.text, 1, 100)), 'false')) AS g FROM documents d JOIN labels l USING (doc_id)),
+c AS (SELECT count(*) FILTER (y AND g) AS tp, count(*) FILTER (NOT y AND g) AS fp, count(*) FILTER (y AND NOT g) AS fn, avg((y = g)::INT) AS a FROM x)
+SELECT round(a, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM c""")
+def judge_binary_metrics(t):
+    rows = t("documents").join(t("labels"), "doc_id")
+    return rows.agg(*review.binary_metrics(F.col("quality") == 1, native.prefix_judgment(F.col("text"))))
+
+
+@query(f"SELECT doc_id, translate(text, '{native.ACCENTED}', '{native.PLAIN}') AS text FROM documents")
+def strip_accents_full(t):
+    return t("documents").select("doc_id", native.strip_accents(F.col("text")).alias("text"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN ends_with(x, '.') THEN x ELSE x || '.' END AS text FROM (SELECT conv_id, turn, replace(replace(upper(substr(text, 1, 1)) || lower(substr(text, 2)), ' ,', ','), ' .', '.') AS x FROM conversations)")
+def sentence_case(t):
+    return t("conversations").select("conv_id", "turn", native.sentence_case(F.col("text")).alias("text"))
+
+
+@query("SELECT page_id, 'book:' || substr(sha256(url), 1, 16) AS doc_id FROM pages")
+def doc_sha_id(t):
+    return t("pages").select("page_id", native.book_id(F.col("url")).alias("doc_id"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN n = 1 THEN 'c' || conv_id ELSE 'c' || conv_id || '::part' || (turn + 1) END AS segment_id FROM (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)")
+def segment_ids(t):
+    n = t("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    rows = t("conversations").join(n, "conv_id")
+    return rows.select("conv_id", "turn", native.part_id(F.concat(F.lit("c"), "conv_id"), F.col("turn") + 1, F.col("n")).alias("segment_id"))
+
+
+@query()
+def clean_pages(t):
+    return t("pages").select("page_id", clean.clean_text_udf("html").alias("text"))
+
+
+@query()
+def clean_book_pages(t):
+    return t("pages").select("page_id", clean.clean_book_udf("html").alias("text"))
+
+
+@query()
+def split_segments(t):
+    return t("documents").select("doc_id", F.posexplode(segment.split_udf("text", F.lit(1800))).alias("part", "text"))
+
+
+@query()
+def pack_segments(t):
+    return t("documents").select("doc_id", "text").mapInPandas(segment.pack_books, "doc_id long, part int, text string, raw_text string, start_line int, end_line int")
+
+
+@query()
+def chunk_offsets(t):
+    return t("documents").select("doc_id", F.posexplode(segment.chunks_udf("text", F.lit(1800))).alias("index", "c")).select("doc_id", "index", "c.start", "c.end")
+
+
+@query()
+def chunk_plan_counts(t):
+    return t("documents").select(F.size(segment.chunks_udf("text", F.lit(1800))).alias("n")).agg(F.count("*").alias("books"), F.sum("n").alias("chunks"))
+
+
+@query("SELECT sum(length(text))::BIGINT AS chars_in, sum(length(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))))::BIGINT AS chars_out FROM documents")
+def cleanup_character_counts(t):
+    return t("documents").agg(F.sum(F.length("text")).alias("chars_in"), F.sum(F.length(native.collapse_space(F.col("text")))).alias("chars_out"))
+
+
+@query("SELECT item_id, lower(trim(regexp_replace(replace(translate(text, 'ñ', 'n'), '_', ' '), '[ \t\n\r]+', ' ', 'g'))) AS low, length(text)::BIGINT AS n FROM benchmark")
+def normalised_benchmark(t):
+    text = F.translate("text", "ñ", "n")
+    return t("benchmark").select("item_id", F.lower(native.collapse_space(F.replace(text, F.lit("_"), F.lit(" ")))).alias("low"), F.length("text").cast("long").alias("n"))
+
+
+# --- triples
+
+@query(f"WITH {STAR_SQL} SELECT graph_id, pos, s, p, o FROM gold")
+def star_schema_triples(t):
+    return gold_pred(t)[0]
+
+
+@query("WITH x AS (SELECT c_nationkey::BIGINT AS graph_id, c_custkey AS pos, c_mktsegment AS s, 'sold_in' AS p, n_name AS o FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT graph_id, s, p, o, min(pos) AS pos FROM x GROUP BY ALL")
+def triple_dedupe(t):
+    c = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations
+    return triples.distinct_in_order(c.select(F.col("c_nationkey").cast("long").alias("graph_id"), F.col("c_custkey").alias("pos"), F.col("c_mktsegment").alias("s"), F.lit("sold_in").alias("p"), F.col("n_name").alias("o")), "graph_id")
+
+
+PER_SQL = f"""WITH {STAR_SQL}, k AS (SELECT graph_id, s, p, o, max(g) AS g, max(h) AS h FROM (SELECT graph_id, %s AS s, %s AS p, %s AS o, 1 AS g, 0 AS h FROM gold UNION ALL SELECT graph_id, %s, %s, %s, 0, 1 FROM pred) GROUP BY ALL)"""
+
+
+@query(PER_SQL % (("lower(trim(s))", "lower(trim(p))", "lower(trim(o))") * 2) + " SELECT sum(g * h)::BIGINT AS tp, sum(g)::BIGINT AS n_gold, sum(h)::BIGINT AS n_pred, round(sum(g * h) / sum(h), 6) AS precision, round(sum(g * h) / sum(g), 6) AS recall, round(2.0 * sum(g * h) / (sum(g) + sum(h)), 6) AS f1 FROM k")
+def triple_micro_prf(t):
+    return triples.micro_scores(*gold_pred(t))
+
+
+@query(PER_SQL % (("s", "p", "o") * 2) + ", c AS (SELECT s, p, o, sum(g * h) AS tp, sum(g) AS g, sum(h) AS h FROM k GROUP BY s, p, o) SELECT round(avg(CASE WHEN h > 0 THEN tp / h ELSE 0 END), 6) AS precision, round(avg(CASE WHEN g > 0 THEN tp / g ELSE 0 END), 6) AS recall, round(avg(2.0 * tp / (g + h)), 6) AS f1, count(*) AS classes FROM c")
+def triple_macro_prf(t):
+    return triples.macro_scores(*gold_pred(t))
+
+
+@query(f"WITH {STAR_SQL} SELECT round(avg(((graph_id, lower(trim(s)), lower(trim(p)), lower(trim(o))) IN (SELECT (graph_id, lower(trim(s)), lower(trim(p)), lower(trim(o))) FROM gold))::INT), 6) AS accuracy, count(*) AS n_pred FROM pred")
+def triple_accuracy(t):
+    return triples.match_accuracy(*gold_pred(t))
+
+
+JUDGED_SQL = f"WITH {STAR_SQL}, kept AS (SELECT graph_id, pos, s, p, o FROM star WHERE c_acctbal >= 0)"
+
+
+@query(f"{JUDGED_SQL} SELECT g.graph_id, g.n AS n_before, coalesce(k.n, 0) AS n_after, round(100.0 * coalesce(k.n, 0) / g.n, 4) AS retained_pct FROM (SELECT graph_id, count(*) AS n FROM gold GROUP BY 1) g LEFT JOIN (SELECT graph_id, count(*) AS n FROM kept GROUP BY 1) k USING (graph_id)")
+def retention_by_doc(t):
+    rows = star(t)
+    return triples.retention(rows, rows.where("c_acctbal >= 0"))
+
+
+@query(f"{JUDGED_SQL} SELECT * FROM kept")
+def judge_filter_keyed(t):
+    rows = star(t)
+    return triples.judge_filter(rows.select("graph_id", "pos", "s", "p", "o"), rows.select("graph_id", "pos", (F.col("c_acctbal") >= 0).alias("verdict")))
+
+
+@query(f"""WITH {STAR_SQL}, d AS (SELECT DISTINCT graph_id, o FROM gold), n AS (SELECT graph_id, o, lead(o) OVER w AS up, first(o) OVER w AS low FROM d WINDOW w AS (PARTITION BY graph_id ORDER BY o))
+SELECT graph_id, pos, s, p, o, coalesce(up, CASE WHEN low <> o THEN low END) AS negative_tail FROM gold JOIN n USING (graph_id, o)""")
+def negative_tail_sampling(t):
+    return triples.negative_tails(gold_pred(t)[0])
+
+
+@query(f"WITH {STAR_SQL} SELECT p, p = 'lives_in' AS known, count(*) AS n FROM gold GROUP BY ALL")
+def known_vs_unknown_relations(t):
+    rows = gold_pred(t)[0]
+    schema = rows.sparkSession.createDataFrame([("lives_in", "a person has a home in a country")], "relation string, definition string")
+    known, unknown = triples.split_known(rows, schema)
+    return known.withColumn("known", F.lit(True)).unionByName(unknown.withColumn("known", F.lit(False))).groupBy("p", "known").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {STAR_SQL} SELECT graph_id, pos, 'Is this true: ' || s || ' ' || p || ' ' || o || '?' AS prompt FROM gold")
+def triple_questions(t):
+    return gold_pred(t)[0].select("graph_id", "pos", native.triple_question(F.col("s"), F.col("p"), F.col("o")).alias("prompt"))
+
+
+@query(f"WITH {STAR_SQL}, x AS (SELECT graph_id, s || ' ' || p AS sentence, s, o FROM gold) SELECT graph_id, sentence FROM x WHERE contains(lower(sentence), lower(s)) AND contains(lower(sentence), lower(o))")
+def tekgen_filter(t):
+    from textloom.sources.readers import tekgen
+
+    rows = gold_pred(t)[0].select("graph_id", F.concat_ws(" ", "s", "p").alias("sentence"), F.array(F.array("s", "p", "o")).alias("triples"))
+    return tekgen(rows).select("graph_id", "sentence")
+
+
+@query("""WITH x AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM x) WHERE rank <= 5""")
+def topk_relations(t):
+    """Queries: every row whose id is divisible by 100, against all rows."""
+    v = t("embeddings")
+    return triples.top_k(v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), v, 5)
+
+
+PAIRS_SQL = """WITH x AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+y AS (SELECT vec_id, e, lead(e) OVER (PARTITION BY label ORDER BY vec_id) AS pos, lead(e) OVER (ORDER BY label, vec_id) AS nxt FROM x),
+z AS (SELECT list_inner_product(e, pos) AS p, list_inner_product(e, list_reverse(pos)) AS n, sqrt(list_inner_product(e, e) * list_inner_product(pos, pos)) AS c FROM y WHERE pos IS NOT NULL)"""
+
+
+def _pairs(t) -> DataFrame:
+    """Each vector with the next of its label as positive and that one reversed as negative."""
+    from pyspark.sql import Window
+
+    v = t("embeddings").withColumn("pos", F.lead("embedding").over(Window.partitionBy("label").orderBy("vec_id"))).where("pos is not null")
+    return v.select(native.dot(F.col("embedding"), F.col("pos")).alias("p"), native.dot(F.col("embedding"), F.reverse("pos")).alias("n"), F.sqrt(native.dot(F.col("embedding"), F.col("embedding")) * native.dot(F.col("pos"), F.col("pos"))).alias("c"))
+
+
+@query(f"{PAIRS_SQL} SELECT round(avg((p > n)::INT), 6) AS accuracy, count(*) AS pairs FROM z")
+def retrieval_accuracy(t):
+    return _pairs(t).agg(F.round(F.avg((F.col("p") > F.col("n")).cast("double")), 6).alias("accuracy"), F.count("*").alias("pairs"))
+
+
+@query(f"{PAIRS_SQL} SELECT round(avg(greatest((n - p) / c / 0.02, 0) + ln(1 + exp(-abs((n - p) / c / 0.02)))), 4) AS loss FROM z")
+def infonce_loss(t):
+    """log(1 + exp((negative - positive) / temperature)), in a form that can't overflow."""
+    x = (F.col("n") - F.col("p")) / F.col("c") / 0.02
+    return _pairs(t).agg(F.round(F.avg(F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))), 4).alias("loss"))
+
+
+@query()
+def graph_matching_scores(t):
+    """Assignment scores per nation over its distinct facts about segments, a cut of the prediction by balance."""
+    c = star(t).where("p = 'buys_for'").groupBy("graph_id", "p", "o").agg(F.min("pos").alias("pos"), F.avg("c_acctbal").alias("b"))
+    base = c.select("graph_id", "pos", F.concat(F.lit("nation "), "graph_id").alias("s"), "p", "o", "b")
+    return graphs.graph_scores(base.select(F.lit("gold").alias("side"), "graph_id", "pos", "s", "p", "o").unionByName(base.select(F.lit("pred").alias("side"), "graph_id", "pos", "s", "p", F.when(F.col("b") < 4500, F.lower("o")).otherwise(F.reverse("o")).alias("o"))))
+
+
+@query()
+def slot_scores(t):
+    c = star(t).where("p = 'buys_for'").groupBy("graph_id", "p", "o").agg(F.min("pos").alias("pos"), F.avg("c_acctbal").alias("b"))
+    base = c.select("graph_id", "pos", F.concat(F.lit("nation "), "graph_id").alias("s"), "p", "o", "b")
+    return graphs.slot_scores(base.select(F.lit("gold").alias("side"), "graph_id", "pos", "s", "p", "o").unionByName(base.select(F.lit("pred").alias("side"), "graph_id", "pos", "s", "p", F.when(F.col("b") < 4500, F.lower("o")).otherwise(F.col("o")).alias("o"))))
+
+
+# --- review, resume, normalisation
+
+VERDICTS_SQL = "v AS (SELECT doc_id AS record_id, 'quality' AS c, quality = 1 AS passed FROM labels UNION ALL SELECT doc_id, 'toxic', toxic = 0 FROM labels)"
+
+
+@query(f"WITH {VERDICTS_SQL} SELECT record_id, bool_and(passed) AS accepted, coalesce(string_agg(c, ',' ORDER BY c) FILTER (NOT passed), '') AS failed_checks FROM v GROUP BY record_id")
+def review_accept(t):
+    checks = F.explode(F.array(F.struct(F.lit("quality").alias("check"), (F.col("quality") == 1).alias("passed")), F.struct(F.lit("toxic").alias("check"), (F.col("toxic") == 0).alias("passed"))))
+    return review.accepted(t("labels").select(F.col("doc_id").alias("record_id"), checks.alias("v")).select("record_id", "v.check", "v.passed"))
+
+
+# conversations as books: a user's turn is saved, a system's failed and was tried again, the rest is pending
+SAVED_SQL = "saved AS (SELECT conv_id AS source_path, turn AS index, 1 AS ord, CASE WHEN role = 'system' THEN 'model_failed' ELSE 'accepted' END AS status FROM conversations WHERE role <> 'assistant' UNION ALL SELECT conv_id, turn, 2, 'accepted' FROM conversations WHERE role = 'system' AND length(text) > 40)"
+
+
+def _saved(t) -> DataFrame:
+    c = t("conversations")
+    first = c.where("role <> 'assistant'").select(F.col("conv_id").alias("source_path"), F.col("turn").alias("index"), F.lit(1).alias("ord"), F.when(F.col("role") == "system", "model_failed").otherwise("accepted").alias("status"))
+    again = c.where("role = 'system' and length(text) > 40").select(F.col("conv_id").alias("source_path"), F.col("turn").alias("index"), F.lit(2).alias("ord"), F.lit("accepted").alias("status"))
+    return first.unionByName(again)
+
+
+def _chunks(t) -> DataFrame:
+    return t("conversations").select(F.col("conv_id").alias("source_path"), F.col("turn").alias("index"))
+
+
+@query(f"WITH {SAVED_SQL} SELECT source_path, index, max(ord) AS ord, arg_max(status, ord) AS status FROM saved GROUP BY source_path, index")
+def checkpoint_latest(t):
+    return review.latest_checkpoint(_saved(t))
+
+
+@query(f"WITH {SAVED_SQL} SELECT conv_id AS source_path, turn AS index FROM conversations WHERE (conv_id, turn) NOT IN (SELECT (source_path, index) FROM saved)")
+def pending_chunks(t):
+    return review.pending(_chunks(t), _saved(t))
+
+
+@query(f"WITH {SAVED_SQL}, s AS (SELECT DISTINCT source_path, index FROM saved), x AS (SELECT conv_id AS source_path, count(*) AS n_chunks, count(s.index) AS n_done FROM conversations LEFT JOIN s ON conv_id = s.source_path AND turn = s.index GROUP BY 1) SELECT * FROM x WHERE n_chunks = n_done")
+def publishable_books(t):
+    return review.publishable(_chunks(t), _saved(t))
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations WHERE role <> 'system' GROUP BY conv_id")
+def assemble_text(t):
+    parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    return t("conversations").where("role <> 'system'").groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n\n").alias("text"))
+
+
+@query("""WITH w AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations)
+SELECT conv_id, role, min(turn) AS first_at, least(count(*), 4) AS label, count(*) AS run FROM w GROUP BY conv_id, role, g""")
+def mask_run_labels(t):
+    return review.run_labels(t("conversations"), "conv_id", "turn", "role")
+
+
+@query("SELECT item_id, sent_len, (row_number() OVER (PARTITION BY sent_len ORDER BY item_id) - 1) // 16 AS batch FROM (SELECT item_id, len(string_split(text, ' '))::BIGINT AS sent_len FROM benchmark)")
+def length_buckets(t):
+    return review.length_buckets(t("benchmark"), "item_id", F.size(F.split("text", " ")).cast("long"), 16)
+
+
+@query("""WITH x AS (SELECT item_id AS batch, unnest(string_split(text, ' ')) AS source FROM benchmark), y AS (SELECT batch, source, lower(source) AS target, CASE WHEN length(source) > 3 THEN lower(source) ELSE source END AS predicted FROM x),
+b AS (SELECT batch, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (source <> target), 0), 0) AS r, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (predicted <> source), 0), 0) AS p,
+coalesce(count(*) FILTER (source = target AND predicted = target) / nullif(count(*) FILTER (source = target), 0), 0) AS k, avg((predicted = target)::INT) AS a FROM y GROUP BY batch)
+SELECT round(100 * avg(r), 4) AS recall, round(100 * avg(p), 4) AS precision, round(100 * avg(k), 4) AS kept_recall, round(100 * avg(a), 4) AS accuracy FROM b""")
+def lexnorm_metrics(t):
+    tokens = t("benchmark").select(F.col("item_id").alias("batch"), F.explode(F.split("text", " ")).alias("source"))
+    return review.lexnorm_metrics(tokens.withColumn("target", F.lower("source")).withColumn("predicted", F.when(F.length("source") > 3, F.lower("source")).otherwise(F.col("source"))))
+
+
+@query("SELECT item_id, text, 'A. ' || split_part(text, ' ', 1) || chr(10) || 'B. ' || split_part(text, ' ', 2) || chr(10) || 'C. None of the above' AS choices FROM benchmark")
+def choice_blocks(t):
+    words = F.slice(F.split("text", " "), 1, 2)
+    return t("benchmark").select("item_id", "text", native.choice_block(words).alias("choices"))
+
+
+@query()
+def judged_offline(t):
+    """Model stage with the offline backend: distinct questions, one call each, verdicts joined back."""
+    rows = gold_pred(t)[0].select("graph_id", "pos", native.triple_question(F.col("s"), F.col("p"), F.col("o")).alias("prompt"))
+    keyed = model_stage.with_prompt_id(rows, "offline")
+    found = model_stage.call(keyed.select("prompt_id", "prompt").distinct(), model_stage.offline)
+    return keyed.join(found, "prompt_id").select("graph_id", "pos", native.strict_judgment(F.col("response")).alias("label"), "error")
+
+
+@query("SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS k FROM events GROUP BY 1")
+def json_records(t):
+    return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))

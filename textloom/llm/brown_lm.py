@@ -94,7 +94,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS, fixed: int |
             o, t = o.copy(), t.copy()
             o[old] -= self_pairs
             t[old] -= self_pairs
-            rows, cols = table.sum(axis=1), table.sum(axis=0)
+            rows, cols = table.sum(axis=1) + t, table.sum(axis=0) + o  # wherever i goes, it follows and is followed
             so, st = o.sum() + self_pairs, t.sum() + self_pairs
             gain = (xlogx(table + o[None]) - xlogx(table)).sum(axis=1) + (xlogx(table + t[:, None]) - xlogx(table)).sum(axis=0)
             cross = np.diag(table)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, native, parsing, segment
-from textloom.operators import graphs, review, triples
+from textloom.operators import graphs, hints, lexnorm, review, triples
 from textloom.plans import model_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -392,3 +392,88 @@ def judged_offline(t):
 @query("SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS k FROM events GROUP BY 1")
 def json_records(t):
     return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
+
+
+# --- lexical normalisation
+
+@query(r"""WITH w AS (SELECT item_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) - 1 AS i FROM benchmark),
+p AS (SELECT item_id, i, regexp_extract_all(w, '.{1,3}') AS s, regexp_extract_all(replace(w, 'e', 'eee'), '.{1,3}') AS t, regexp_extract_all(replace(w, 'n', 'm') || 'xxxx', '.{1,3}') AS r FROM w),
+q AS (SELECT *, unnest(range(1, greatest(len(s), len(t)) + 1)) AS k FROM p),
+f AS (SELECT item_id, count(*) + 2 AS n, string_agg(coalesce(s[k], '<mask>'), ' ' ORDER BY i, k) AS a, string_agg(coalesce(t[k], '<space>'), ' ' ORDER BY i, k) AS b, string_agg(i::VARCHAR, ' ' ORDER BY i, k) AS g, string_agg(coalesce(r[k], '<space>'), ' ' ORDER BY i, k) AS v FROM q GROUP BY item_id)
+SELECT item_id, '<s> ' || a || ' </s>' AS input, '<s> ' || b || ' </s>' AS output, g AS align_index, '<s> ' || v || ' </s>' AS votes, n::BIGINT AS sent_len FROM f""")
+def aligned_pieces(t):
+    pieces = lambda change: F.transform(F.split("text", " "), lambda w: F.regexp_extract_all(change(w), F.lit(".{1,3}"), F.lit(0)))
+    rows = t("benchmark").select("item_id", pieces(lambda w: w).alias("source"), pieces(lambda w: F.replace(w, F.lit("e"), F.lit("eee"))).alias("target"), pieces(lambda w: F.concat(F.replace(w, F.lit("n"), F.lit("m")), F.lit("xxxx"))).alias("rule_01"))
+    done = lexnorm.aligned(rows, rules=("rule_01",))
+    return done.select("item_id", F.array_join("input_pieces", " ").alias("input"), F.array_join("output_pieces", " ").alias("output"), F.array_join(F.transform("align_index", lambda i: i.cast("string")), " ").alias("align_index"), F.array_join(F.flatten("weak_labels"), " ").alias("votes"), F.col("sent_len").cast("long").alias("sent_len"))
+
+
+@query(r"""WITH w AS (SELECT item_id AS doc_id, unnest(string_split(text, ' ')) AS source, generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM benchmark),
+c AS (SELECT *, replace(source, 'e', 'a') AS replacement, (85 + pos % 14) / 100 AS confidence FROM w),
+g AS (SELECT doc_id, source, replacement, max(confidence) AS confidence, min(pos) AS pos FROM c WHERE length(source) >= 3 AND confidence >= 0.9 AND source <> replacement AND regexp_full_match(source, '\p{L}+') AND source = lower(source) AND regexp_full_match(replacement, '\p{L}+') AND replacement = lower(replacement) GROUP BY ALL)
+SELECT doc_id, source, replacement, confidence, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, replacement) AS rank FROM g) WHERE rank <= 12""")
+def ranked_suggestions(t):
+    words = t("benchmark").select(F.col("item_id").alias("doc_id"), F.posexplode(F.split("text", " ")).alias("pos", "source"))
+    found = words.withColumn("replacement", F.replace("source", F.lit("e"), F.lit("a"))).withColumn("confidence", (85 + F.col("pos") % 14) / F.lit(100))
+    return lexnorm.suggestions(found).select("doc_id", "source", "replacement", "confidence", F.col("rank").cast("long").alias("rank"))
+
+
+SPANS_SQL = """x AS (SELECT conv_id, turn, role, text, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS e FROM conversations),
+y AS (SELECT conv_id, e - length(text) AS b, e, text FROM x WHERE turn % 3 <> 1)"""
+
+
+@query(f"""WITH {SPANS_SQL}, z AS (SELECT *, CASE WHEN lag(e) OVER (PARTITION BY conv_id ORDER BY b, e) = b THEN 0 ELSE 1 END AS o FROM y),
+r AS (SELECT *, sum(o) OVER (PARTITION BY conv_id ORDER BY b, e ROWS UNBOUNDED PRECEDING) AS g FROM z)
+SELECT conv_id, min(b)::BIGINT AS "begin", max(e)::BIGINT AS "end", string_agg(text, '' ORDER BY b, e) AS text FROM r GROUP BY conv_id, g""")
+def merged_spans(t):
+    end = F.sum(F.length("text")).over(Window.partitionBy("conv_id").orderBy("turn"))
+    spans = t("conversations").withColumn("end", end).where("turn % 3 <> 1")
+    return lexnorm.merged_spans(spans.select("conv_id", (F.col("end") - F.length("text")).alias("begin"), "end", "text"), "conv_id")
+
+
+@query("""WITH v AS (SELECT vec_id, label, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) AS z, label AS v1, (vec_id % 4)::INT AS v2, CASE WHEN vec_id % 3 = 0 THEN -1 ELSE label END AS v3 FROM embeddings),
+r AS (SELECT vec_id, unnest([{'v': v1, 'w': 1 / (1 + exp(-(0.1 * z + 0.5)))}, {'v': v2, 'w': 1 / (1 + exp(-(0.2 * z)))}, {'v': v3, 'w': 1 / (1 + exp(-(0.3 * z - 0.5)))}]) AS x FROM v),
+m AS (SELECT vec_id, x.v AS v, sum(x.w) AS mass, count(*) AS n FROM r WHERE x.v <> -1 GROUP BY ALL),
+b AS (SELECT vec_id, sum(n) AS fired, sum(mass) AS total, max(mass) AS mass, arg_max(v, mass) AS v FROM m GROUP BY vec_id),
+p AS (SELECT vec_id, v, (mass + (fired - total) / 16 + 1e-5) / (fired + 16 * 1e-5) AS p FROM b)
+SELECT vec_id, CASE WHEN p >= 0.5 THEN v ELSE -1 END AS label_pred, round(p, 4) AS probability FROM p""")
+def rule_attention(t):
+    e = t("embeddings")
+    votes = F.array(F.col("label"), (F.col("vec_id") % 4).cast("int"), F.when(F.col("vec_id") % 3 == 0, lexnorm.ABSTAIN).otherwise(F.col("label")))
+    found = lexnorm.attended(e.select("vec_id", "embedding", votes.alias("votes")), "votes", "embedding", [[w] * 64 for w in (0.1, 0.2, 0.3)], [0.5, 0.0, -0.5], 16)
+    return found.select("vec_id", "label_pred", F.round("probability", 4).alias("probability"))
+
+
+@query("SELECT doc_id, lang FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 100")
+def downsampled_documents(t):
+    """A sampling operator: the number of rows is its feature."""
+    return lexnorm.downsampled(t("documents"), "doc_id", 100, seed=7).select("doc_id", "lang")
+
+
+@query(f"SELECT doc_id, translate(text, '{native.ACCENTED}', '{native.PLAIN}') AS text, true AS augmented FROM documents UNION ALL SELECT doc_id, text, false FROM documents")
+def unaccented_augmentation(t):
+    return lexnorm.with_unaccented(t("documents").select("doc_id", "text"), "text")
+
+
+# --- hints and the choice of sentences
+
+@query("""WITH run AS (SELECT c_name AS s, 'trades_in_' || lower(c_mktsegment) AS relation, n_name AS o, md5('0' || chr(31) || c_name || chr(31) || 'trades_in_' || lower(c_mktsegment) || chr(31) || n_name) AS k FROM customer JOIN nation ON c_nationkey = n_nationkey),
+e AS (SELECT relation, arg_min(s, k) AS s, arg_min(o, k) AS o FROM run GROUP BY relation),
+k AS (SELECT DISTINCT 'trades_in_' || lower(c_mktsegment) AS relation, 'the segment is ' || c_mktsegment AS definition FROM customer),
+w AS (SELECT s_suppkey AS doc_id, unnest(['trades_in_machinery', 'trades_in_building', 'unknown']) AS relation, unnest(CASE WHEN s_suppkey % 2 = 0 THEN [0, 1, 2] ELSE [2, 1, 0] END) AS pos FROM supplier),
+l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n, relation || ': ' || definition || ' Example: [' || s || ', ' || relation || ', ' || o || ']' AS line FROM w JOIN k USING (relation) JOIN e USING (relation))
+SELECT doc_id, string_agg(n || '. ' || line, chr(10) ORDER BY n) AS hint FROM l GROUP BY doc_id""")
+def refinement_hints(t):
+    named = lambda c: F.concat(F.lit("trades_in_"), F.lower(c))
+    run = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_name").alias("s"), named("c_mktsegment").alias("p"), F.col("n_name").alias("o"))
+    schema = t("customer").select(named("c_mktsegment").alias("relation"), F.concat(F.lit("the segment is "), "c_mktsegment").alias("definition")).distinct()
+    order = [F.lit("trades_in_machinery"), F.lit("trades_in_building"), F.lit("unknown")]
+    even = F.col("s_suppkey") % 2 == 0
+    rows = t("supplier").select(F.col("s_suppkey").alias("doc_id"), F.when(even, F.array(*order[:1])).otherwise(F.array(*order[:0:-1])).alias("before"), F.when(even, F.array(*order)).otherwise(F.array(*order[:1])).alias("retrieved"))
+    return hints.relation_hints(rows, schema, run)
+
+
+@query()
+def relation_covering_documents(t):
+    """Documents in order whose capitalised words no chosen one before holds; held against the plain walk in the tests."""
+    return hints.first_sentences(t("documents").select(F.col("doc_id").alias("pos"), native.spans(F.col("text"), native.CAPITALISED).alias("relations")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, native, parsing, segment
-from textloom.operators import graphs, hints, lexnorm, review, triples
+from textloom.operators import graphs, hints, lexnorm, retriever, review, triples
 from textloom.plans import model_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -477,3 +477,31 @@ def refinement_hints(t):
 def relation_covering_documents(t):
     """Documents in order whose capitalised words no chosen one before holds; held against the plain walk in the tests."""
     return hints.first_sentences(t("documents").select(F.col("doc_id").alias("pos"), native.spans(F.col("text"), native.CAPITALISED).alias("relations")))
+
+
+# --- samples for a retriever
+
+@query("""WITH r AS (SELECT s_suppkey AS row_id, s_name || ' of ' || n_name AS sentence, s_name AS s, n_name AS o, 'rel_' || s_suppkey % 23 AS r1, 'rel_' || s_suppkey % 5 AS r2 FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+g AS (SELECT DISTINCT row_id, relation, 'meaning ' || row_id AS definition FROM (SELECT row_id, unnest([r1, r2, 'rel_0']) AS relation FROM r)),
+t AS (SELECT relation, definition, row_number() OVER (PARTITION BY relation ORDER BY md5('0' || chr(31) || row_id || chr(31) || relation)) - 1 AS number FROM g),
+c AS (SELECT relation, count(*) AS nd FROM g GROUP BY 1), n AS (SELECT relation, nd, row_number() OVER (ORDER BY md5('0' || chr(31) || relation)) - 1 AS number, count(*) OVER () AS total FROM c),
+p AS (SELECT row_id, CASE WHEN r1 = r2 THEN [r1] ELSE [r1, r2] END AS pos, ('0x' || substr(md5('0' || chr(31) || row_id), 1, 8))::BIGINT AS start FROM r),
+o AS (SELECT row_id, relation, nd, len(pos) AS np, row_number() OVER (PARTITION BY row_id ORDER BY (number - start % total + total) % total) AS k FROM p JOIN n ON NOT list_contains(pos, relation)),
+h AS (SELECT row_id, relation, k, ('0x' || substr(md5('0' || chr(31) || row_id || chr(31) || k), 1, 8))::BIGINT % nd AS number FROM o WHERE k <= 2 AND k <= np)
+SELECT row_id, k::INT AS k, sentence, p.pos[k] || ': meaning ' || row_id AS positive, h.relation || ': ' || t.definition AS negative, p.pos[k] AS positive_relation, h.relation AS negative_relation, array_to_string(list_transform(list_filter([r1, r2], lambda x: x = p.pos[k]), lambda x: s || ', ' || x || ', ' || o), '; ') AS triples
+FROM h JOIN t USING (relation, number) JOIN p USING (row_id) JOIN r USING (row_id)""")
+def retriever_samples(t):
+    """One sentence a supplier; its third triple isn't in the sentence, so its relation is no positive for that reason."""
+    s = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
+    rel = lambda k: F.concat(F.lit("rel_"), (F.col("s_suppkey") % k).cast("string"))
+    of = lambda r, o="n_name": F.array(F.col("s_name"), r, F.col(o))
+    meaning = F.concat(F.lit("meaning "), F.col("s_suppkey").cast("string"))
+    known = F.map_from_entries(F.transform(F.array_distinct(F.array(rel(23), rel(5), F.lit("rel_0"))), lambda r: F.struct(r, meaning)))
+    rows = s.withColumn("absent", F.lit("nowhere")).select(F.col("s_suppkey").alias("row_id"), F.concat_ws(" of ", "s_name", "n_name").alias("sentence"), F.array(of(rel(23)), of(rel(5)), of(F.lit("rel_0"), "absent")).alias("triples"), known.alias("definitions"))
+    found = retriever.retriever_samples(rows)
+    return found.withColumn("triples", F.array_join(F.transform("positive_triples", lambda x: F.array_join(x, ", ")), "; ")).drop("positive_triples")
+
+
+@query("WITH x AS (SELECT doc_id, ('0x' || substr(md5('5' || chr(31) || doc_id), 1, 8))::BIGINT / 4294967296.0 AS u FROM documents) SELECT doc_id, CASE WHEN u < 0.75 THEN 'train' WHEN u < 0.875 THEN 'test' ELSE 'valid' END AS split FROM x")
+def split_documents(t):
+    return retriever.split_shares(t("documents").select("doc_id"), "doc_id", {"train": 0.75, "test": 0.125, "valid": 0.125}, seed=5)

@@ -13,7 +13,10 @@ from pyspark.sql import types as T
 
 from textloom.functions.clean import MATH
 
-CATEGORIES = ("source", "language", "answer", "math", "completeness", "format")
+# The rules' categories, the reviewers' checks and the categories that a failed check may teach.
+CATEGORIES = ("spelling", "terminology", "math", "answer", "removal", "semantics")
+CHECKS = ("semantics", "terminology", "solution", "removal")
+TAUGHT_BY = {"protected_math": ("math",), "semantics": ("semantics", "spelling"), "terminology": ("terminology", "spelling"), "solution": ("answer",), "removal": ("removal",)}
 
 
 def _literal(text: str):
@@ -100,6 +103,26 @@ def rule_is_safe(rule: str, accepted_has_answer: bool = False) -> bool:
     return True
 
 
+def rules(text: str, allowed: set[str], accepted_has_answer: bool = False) -> tuple[list[dict[str, str]], str | None]:
+    """(rules, error): a closed object of one list; rules of other categories and unsafe ones are passed over, repeats too."""
+    try:
+        value = json.loads(text)
+    except (json.JSONDecodeError, TypeError):
+        return [], "invalid"
+    if not isinstance(value, dict) or set(value) != {"rules"} or not isinstance(value["rules"], list):
+        return [], "fields"
+    out: dict[tuple[str, str], dict[str, str]] = {}
+    for item in value["rules"]:
+        if not isinstance(item, dict) or set(item) != {"category", "rule", "evidence"} or not all(isinstance(v, str) for v in item.values()):
+            return [], "fields"
+        rule = item["rule"]
+        if item["category"] not in CATEGORIES or not item["evidence"].strip() or not rule or rule != rule.strip() or len(rule.splitlines()) > 1:
+            return [], "rule"
+        if item["category"] in allowed and rule_is_safe(rule, accepted_has_answer):
+            out.setdefault((item["category"], rule.casefold()), item)
+    return list(out.values()), None
+
+
 def budgeted(rules: list[tuple[str, str]], budget: int = 4000) -> list[tuple[str, str]]:
     """Newest first, those that don't fit are passed over; the original order is kept."""
     left, keep = budget, []
@@ -132,3 +155,16 @@ def verdict_udf(texts: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(T.BooleanType())
 def safe_udf(old: pd.Series, new: pd.Series) -> pd.Series:
     return pd.Series([correction_is_safe(a, b) for a, b in zip(old, new)])
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in ("action", "text", "answer", "error")]))
+def candidate_udf(texts: pd.Series, sources: pd.Series) -> pd.DataFrame:
+    found = [candidate(t, s or "") for t, s in zip(texts, sources)]
+    return pd.DataFrame([(c["action"], c["text"] or "", c["answer"], None) if c else (None, None, None, e) for c, e in found], columns=["action", "text", "answer", "error"])
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("category", "rule", "evidence")])))
+def rules_udf(texts: pd.Series, failed: pd.Series, answers: pd.Series) -> pd.Series:
+    """Rules that the failed checks (a list of names) may teach; none from an unusable answer."""
+    allowed = [{c for check in checks for c in TAUGHT_BY.get(check, ())} for checks in failed]
+    return pd.Series([rules(t, a, bool(b))[0] for t, a, b in zip(texts, allowed, answers)])

@@ -114,6 +114,12 @@ def chunks_udf(texts: pd.Series, limit: pd.Series) -> pd.Series:
     return pd.Series([[{"start": a, "end": b} for a, b in chunks(t, int(n))] if t is not None else None for t, n in zip(texts, limit)])
 
 
+@F.pandas_udf(T.StringType())
+def assemble_udf(texts: pd.Series, done: pd.Series) -> pd.Series:
+    """done: lists of (start, end, status, text)."""
+    return pd.Series([assemble(t, [(d["start"], d["end"], d["status"], d["text"]) for d in parts]) for t, parts in zip(texts, done)])
+
+
 def pack_books(batches: Iterator[pd.DataFrame], limit: int = 1800) -> Iterator[pd.DataFrame]:
     """For mapInPandas over (doc_id, text): doc_id, part, text, raw_text, start_line, end_line."""
     for books in batches:

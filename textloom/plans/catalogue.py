@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import clean, native, parsing, segment
 from textloom.operators import graphs, hints, lexnorm, retriever, review, triples
-from textloom.plans import model_stage
+from textloom.plans import agents, model_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -505,3 +505,13 @@ def retriever_samples(t):
 @query("WITH x AS (SELECT doc_id, ('0x' || substr(md5('5' || chr(31) || doc_id), 1, 8))::BIGINT / 4294967296.0 AS u FROM documents) SELECT doc_id, CASE WHEN u < 0.75 THEN 'train' WHEN u < 0.875 THEN 'test' ELSE 'valid' END AS split FROM x")
 def split_documents(t):
     return retriever.split_shares(t("documents").select("doc_id"), "doc_id", {"train": 0.75, "test": 0.125, "valid": 0.125}, seed=5)
+
+
+# --- rounds of generation and review
+
+@query()
+def reviewed_benchmark(t):
+    """Benchmark texts through rounds of an offline writer and reviewer; held against a record-after-record walk in the tests."""
+    rows = t("benchmark").select(F.col("item_id").cast("string").alias("record_id"), "text")
+    found = agents.adaptive_rounds(rows, agents.offline_writer, agents.offline_reviewer)[0]
+    return found.select(F.col("record_id").cast("long").alias("item_id"), "status", "action", "text", "attempts", "error")

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 ANSWERS = "prompt_id string, response string, error string, attempts int"
 
 
+class OutputTruncated(Exception):
+    """Raised by a backend whose answer was cut off; another try would be cut off too."""
+
+
 def offline(prompt: str) -> str:
     """A deterministic backend that proves the plumbing, not a model's quality."""
     return ("YES", "NO", "UNSURE")[hashlib.sha256(prompt.encode()).digest()[0] % 3]
@@ -33,8 +37,9 @@ def call(prompts: DataFrame, backend: Callable[[str], str], tries: int = 3) -> D
                         out.append((key, backend(prompt), None, attempt))
                         break
                     except Exception as e:  # kept as data: one row must not end the run
-                        if attempt == tries:
+                        if attempt == tries or isinstance(e, OutputTruncated):
                             out.append((key, None, type(e).__name__, attempt))
+                            break
             yield pd.DataFrame(out, columns=["prompt_id", "response", "error", "attempts"])
 
     return prompts.mapInPandas(run, ANSWERS)

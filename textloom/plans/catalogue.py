@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, native, parsing, segment
-from textloom.operators import graphs, hints, lexnorm, retriever, review, triples
+from textloom.operators import canonical, graphs, hints, lexnorm, retriever, review, triples
 from textloom.plans import agents, model_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -515,3 +515,14 @@ def reviewed_benchmark(t):
     rows = t("benchmark").select(F.col("item_id").cast("string").alias("record_id"), "text")
     found = agents.adaptive_rounds(rows, agents.offline_writer, agents.offline_reviewer)[0]
     return found.select(F.col("record_id").cast("long").alias("item_id"), "status", "action", "text", "attempts", "error")
+
+
+# --- canonical relations
+
+@query(f"WITH {STAR_SQL} SELECT graph_id AS doc_id, pos, s, CASE WHEN p = 'lives_in' THEN p WHEN pos % 8 = 1 THEN 'trades_in' WHEN pos % 8 = 3 THEN 'works_for' END AS p, o, CASE WHEN p = 'lives_in' THEN 'known' WHEN pos % 8 IN (1, 3) THEN 'chosen' ELSE 'unmatched' END AS how FROM gold")
+def canonical_relations(t):
+    """Answers stand in for a model's: by place A, B, the letter after the options, and none."""
+    rows = gold_pred(t)[0].withColumnRenamed("graph_id", "doc_id")
+    response = F.element_at(F.array(*[F.lit(x) for x in ("A", "B. works_for", "C", "")]), F.floor(F.col("pos") % 8 / 2).cast("int") + 1)
+    answers = rows.select("doc_id", "pos", F.array(F.lit("trades_in"), F.lit("works_for")).alias("options"), response.alias("response"))
+    return canonical.canonicalised(rows, rows.sparkSession.createDataFrame([("lives_in",)], "relation string"), answers)

@@ -248,6 +248,16 @@ def test_toxicity(docs, empty, spark):
     assert row["a"] > 0.93
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    start = "plain words of an ordinary day " * 1000
+    texts = spark.createDataFrame([(i, f"{start} {i} " + ("zorgle" if i % 2 else "garden")) for i in range(24)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int")
+    model = toxicity.fit(texts, marks)
+    plain, toxic = model.log_likelihoods(b"zorgle")
+    assert toxic - plain > 1
+    assert toxicity.rate(texts, model).where("predicted != doc_id % 2").count() == 0
+
+
 def test_kneser_ney_sums_to_one_and_ratios_agree():
     model = toxicity.estimate([b"bad", b"bat", b"good"], np.array([[1, 5], [3, 0], [9, 1]]), order=3)
     for word in (b"bad", b"goat", b"zz"):

@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import bounded_sample, id_remainder
+from textloom.llm.common import bounded_sample, checkpoint, id_remainder, shuffle_partitions
 from textloom.llm.words import SPACES, Words, distinct_spans, mix, slices, split
 
 EDGE = np.uint64(257)
@@ -220,65 +220,87 @@ def calibrate(model: KneserNey, x: np.ndarray, y: np.ndarray, ridge: float = 1e-
     model.curve = b
 
 
-def train(texts: list[str], toxic: np.ndarray, order: int = 5) -> KneserNey | None:
-    """Models from half of the texts set the curve on the other half, and the other way round; the last models see all."""
-    if not len(texts) or not 0 < toxic.sum() < len(toxic):
+def word_counts(sample: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """All words of the sample, and of each its numbers in the four groups 2 * half + toxic, added up on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                w = split(part.column("text"), BREAKS, lower=True)
+                if not len(w.starts):
+                    continue
+                index, inverse = distinct_spans(w.data, w.starts, w.ends)
+                group = (2 * part.column("half").to_numpy() + part.column("toxic").to_numpy())[w.owner()]
+                here = np.bincount(inverse * 4 + group, minlength=4 * len(index)).reshape(-1, 4).astype(np.int64)
+                raw = w.data.tobytes()
+                words = pa.array([raw[a:b] for a, b in zip(w.starts[index].tolist(), w.ends[index].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([words, *(pa.array(here[:, k]) for k in range(4))], ["word", "n0", "n1", "n2", "n3"])
+
+    sums = [F.sum(f"n{k}").alias(f"n{k}") for k in range(4)]
+    got = sample.mapInArrow(run, "word binary, n0 long, n1 long, n2 long, n3 long").groupBy("word").agg(*sums).toArrow()
+    return got["word"].to_pylist(), np.stack([got[f"n{k}"].to_numpy() for k in range(4)], axis=1)
+
+
+def measured(sample: DataFrame, model: KneserNey) -> tuple[np.ndarray, np.ndarray]:
+    """Features and class of each text of the sample, in an order of their own."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                x = features(shared.value, split(part.column("text"), BREAKS, lower=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), part.column("toxic")], ["x0", "x1", "x2", "toxic"])
+
+    got = sample.mapInArrow(run, "x0 double, x1 double, x2 double, toxic int").toArrow()
+    shared.destroy()
+    x, y = np.stack([got[f"x{k}"].to_numpy() for k in range(3)], axis=1), got["toxic"].to_numpy()
+    order = np.lexsort((x[:, 2], x[:, 1], y))
+    return x[order], y[order]
+
+
+def train(sample: DataFrame, order: int = 5) -> KneserNey | None:
+    """Models from half of the texts set the curve on the other half, and the other way round; the last models see all.
+
+    sample: text, toxic, half. Sent to the driver: the distinct words' counts and three numbers for each text.
+    """
+    sizes = np.zeros((2, 2), int)
+    for r in sample.groupBy("half", "toxic").count().collect():
+        sizes[r["half"], r["toxic"]] = r["count"]
+    if not sizes.sum(axis=0).all():
         return None
-    parts = [split(p.column("text"), BREAKS, lower=True) for p in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), limit=1 << 20)]
-    rank = np.zeros(len(toxic), int)
-    for c in (0, 1):
-        rank[toxic == c] = np.arange((toxic == c).sum())
-    half = rank % 2
-    # numbers of each word in the four groups of half and class, slice by slice
-    place: dict[bytes, int] = {}
-    numbers, lo = [], 0
-    for w in parts:
-        index, inverse = distinct_spans(w.data, w.starts, w.ends)
-        raw = w.data.tobytes()
-        own = np.array([place.setdefault(raw[a:b], len(place)) for a, b in zip(w.starts[index].tolist(), w.ends[index].tolist())], np.int64)
-        group = (2 * half + toxic)[lo : lo + len(w)][w.owner()]
-        here = np.zeros((len(index), 4))
-        np.add.at(here, (inverse, group), 1)
-        numbers.append((own, here))
-        lo += len(w)
-    table = np.zeros((len(place), 4))
-    for own, here in numbers:
-        table[own] += here
-    words = list(place)
+    words, table = word_counts(sample)
 
     def counted(halves: tuple[int, ...]) -> KneserNey:
         n = sum(table[:, 2 * s : 2 * s + 2] for s in halves)
         some = n.sum(axis=1) > 0
         return estimate([x for x, ok in zip(words, some) if ok], n[some], order)
 
-    def measured(model: KneserNey) -> np.ndarray:
-        return np.concatenate([features(model, w) for w in parts])
-
-    x, y = [], []
+    found = []
     for side in (0, 1):
-        if len(set(toxic[half != side])) == 2 and (half == side).any():
-            x.append(measured(counted((1 - side,)))[half == side])
-            y.append(toxic[half == side])
+        if sizes[1 - side].all() and sizes[side].any():
+            found.append(measured(sample.where(F.col("half") == side), counted((1 - side,))))
     model = counted((0, 1))
-    if not x:
-        x, y = [measured(model)], [toxic]
-    calibrate(model, np.concatenate(x), np.concatenate(y).astype(float))
+    if not found:
+        found = [measured(sample, model)]
+    calibrate(model, np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]).astype(float))
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1000, max_ordinary: int = 1000, max_text_chars: int = 5_000) -> KneserNey | None:
-    """Train on a bounded sample of labelled documents: about max_toxic and max_ordinary rows, of each at most max_text_chars."""
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2000, max_ordinary: int = 2500) -> KneserNey | None:
+    """Train on the whole texts of a bounded sample of labelled documents: about max_toxic and max_ordinary rows."""
     marks = labels.select(F.col("doc_id").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     wanted = None
     for value, bound in ((1, max_toxic), (0, max_ordinary)):
         some = bounded_sample(marks.where(F.col("toxic") == value), "doc_id", bound)
         wanted = some if wanted is None else wanted.unionByName(some)
-    got = (
-        docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, max_text_chars).alias("text"))
+    rows = (
+        docs.where(F.col("text").isNotNull()).select("doc_id", "text")
         .join(F.broadcast(wanted), "doc_id")  # bounded by max_toxic + max_ordinary
-        .select("text", "toxic", F.xxhash64("doc_id", "text").alias("k")).toArrow().sort_by([("k", "ascending")])
+        .select("text", "toxic", F.xxhash64("doc_id", "text").alias("k"))
     )
-    return train(got["text"].to_pylist(), got["toxic"].to_numpy().astype(int))
+    turn = F.row_number().over(Window.partitionBy("toxic").orderBy("k"))
+    halves = rows.withColumn("half", ((turn - 1) % 2).cast("int")).repartition(shuffle_partitions(docs.sparkSession), "k")
+    return train(checkpoint(halves.select("text", "toxic", "half")))
 
 
 def rate(docs: DataFrame, model: KneserNey | None, keep: list[str] | None = None) -> DataFrame:

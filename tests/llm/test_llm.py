@@ -175,6 +175,16 @@ def test_brown_scores(docs, empty):
     assert brown_lm.op10(empty).count() == 0
 
 
+def test_rare_words_take_the_class_of_their_own_contexts(spark, monkeypatch):
+    """Words beyond the frequent ones, one tail for all, of which half stand where 'cat' does and half where 'ran' does."""
+    texts = [f"the cat{i % 40}x ran the cat ran{i % 40}x" for i in range(400)] + ["the cat ran"] * 100
+    dealt = brown_lm.deal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    words, model = brown_lm.fit(dealt, frequent=3, tails=1, classes=4)
+    k = {bytes(r["word"]).decode(): r["k"] for r in words.where("lead and c > 0").collect()}
+    assert len(k) == 83 and {k[w] for w in k if w.startswith("cat")} == {k["cat"]} and {k[w] for w in k if w.startswith("ran")} == {k["ran"]}
+    assert k["cat"] != k["ran"] and model.class_kinds.tolist().count(41) == 2
+
+
 def test_exchange_ends_where_no_single_move_helps():
     def information(pairs, group, k):
         one = np.eye(k)[group]

@@ -2,12 +2,15 @@
 
 Every word has a type: one of the most frequent words of the training texts, or a tail type made of its last bytes.
 The exchange algorithm assigns types to classes so that the classes' bigrams carry the most mutual information.
+Then every other training word leaves its tail for the class that its own neighbours' classes gain most from (to first
+order: the sum of log N(k, next) - log N(k) and log N(previous, k) - log N(k)), and the classes' bigrams are counted anew.
+Only words that no training text has keep the class of their tail.
 A token's probability is P(class | previous class) * P(word | class), both smoothed by additive counts; the word
 probability has one share for unseen words. A text begins and ends in the class of the end token.
 
 What is gathered: counts of all words of all training texts. Documents are dealt to groups; a group sends each of its
-distinct words once, a window over the word adds the groups' counts, and each group gets back the counts of its own
-words - nothing of the vocabulary's size is ever broadcast. Broadcast and sent to the driver: the `frequent` words and
+distinct words once with its neighbours' classes, rows sorted by word add the groups' counts, and each group gets back
+the counts and classes of its own words - nothing of the vocabulary's size is ever broadcast. Broadcast and sent to the driver: the `frequent` words and
 a table of at most (frequent + tails + 1) ** 2 counts of type pairs.
 
 Defined results: a null text is empty (one end token). Null ids count as empty text where remainders are taken.
@@ -21,11 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import checkpoint, id_remainder, shuffle_partitions, text_key
-from textloom.llm.words import LOWER, SPACES, Words, distinct_spans, slices, span_hashes, split, split_bytes
+from textloom.llm.common import fresh_dir, id_remainder, shuffle_partitions, text_key
+from textloom.llm.words import Words, distinct_spans, slices, span_hashes, split
 
 FREQUENT, TAILS, CLASSES, SWEEPS = 768, 256, 48, 6
 
@@ -52,12 +56,9 @@ class Types:
         return out
 
 
-def frequent_types(words: list[bytes], tails: int) -> Types:
-    data = np.frombuffer(b"".join(words), np.uint8)
-    ends = np.cumsum([len(w) for w in words]).astype(np.int64)
-    h = span_hashes(data, ends - [len(w) for w in words], ends) if words else np.zeros(0, np.uint64)
-    order = np.argsort(h)
-    return Types(h[order], order, tails)
+def frequent_types(hashes: np.ndarray, tails: int) -> Types:
+    order = np.argsort(hashes)
+    return Types(hashes[order], order, tails)
 
 
 def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS, fixed: int | None = None) -> np.ndarray:
@@ -120,9 +121,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS, fixed: int |
 
 @dataclass
 class ClassModel:
-    types: Types
-    group: np.ndarray
-    log_next: np.ndarray
+    end: int
     class_tokens: np.ndarray
     class_kinds: np.ndarray
     tokens: int
@@ -142,18 +141,56 @@ def deal(docs: DataFrame) -> DataFrame:
     return text_key(docs).select("doc_id", "text", (id_remainder(F.col("doc_id"), 5) == 1).alias("held_out"), F.pmod(F.xxhash64("key_id", "key_text"), F.lit(groups)).cast("int").alias("g"))
 
 
-WORDS = pa.schema([("g", pa.int32()), ("word", pa.binary()), ("n", pa.int64())])
+WORDS = pa.schema([("g", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("near", pa.binary())])
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def group_words(dealt: DataFrame) -> DataFrame:
-    """g, word (bytes), n (its number in training texts) for each distinct word of each group."""
+def frequent_hashes(dealt: DataFrame, frequent: int) -> np.ndarray:
+    """Hashes of the most frequent words of the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                w = split(part.column("text"), lower=True)
+                h, n = np.unique(span_hashes(w.data, w.starts, w.ends), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+    every = dealt.where(~F.col("held_out")).select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
+    top = every.orderBy(F.col("c").desc(), "h").limit(frequent).collect()
+    return np.array([r["h"] for r in top], np.int64).view(np.uint64)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage through files in columns, which take a fraction of a checkpoint's room."""
+    folder = fresh_dir(df.sparkSession, "brown")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def group_words(dealt: DataFrame, types: Types, group: np.ndarray) -> DataFrame:
+    """g, word (bytes), n (its number in training texts), near for each distinct word of each group.
+
+    near: the classes before and after each training token of a word that isn't frequent, two bytes a token.
+    """
+    shared = dealt.sparkSession.sparkContext.broadcast((types, group))
     placed = dealt.repartition(shuffle_partitions(dealt.sparkSession), "g").sortWithinPartitions("g")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, have = None, None
-
-        def fold(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Distinct words of several lists (bytes with one space after each, offsets, counts)."""
+        kinds, classes = shared.value
+
+        def neighbours(w: Words, train: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+            """Of the n words how many tokens have neighbours here, and these, in the order of the words."""
+            if not len(place):
+                return np.zeros(n, np.int64), np.zeros((0, 2), np.uint8)
+            before, after = sequences(w, kinds)
+            at = np.arange(len(w.starts)) + w.owner()
+            use = train & (after[at] >= len(kinds.keys))
+            near = np.stack([classes[before[at[use]]], classes[after[at[use] + 1]]], axis=1).astype(np.uint8)
+            return np.bincount(place[use], minlength=n), near[np.argsort(place[use], kind="stable")]
+
+        def fold(rows: list[Found]) -> Found:
+            """Distinct words of several lists (bytes with one space after each, offsets, counts, neighbours)."""
             data = np.concatenate([r[0] for r in rows])
             shift = np.cumsum([0, *(len(r[0]) for r in rows)])
             starts = np.concatenate([r[1][:-1] + s for r, s in zip(rows, shift)])
@@ -164,15 +201,20 @@ def group_words(dealt: DataFrame) -> DataFrame:
             order = np.argsort(keep.starts)
             keep.starts, keep.ends = keep.starts[order], keep.ends[order]
             raw, at = keep.joined()
-            return np.frombuffer(raw, np.uint8), at, counts[order]
+            owner = np.argsort(order)[np.repeat(inverse, np.concatenate([r[3] for r in rows]))]
+            near = np.concatenate([r[4] for r in rows])[np.argsort(owner, kind="stable")]
+            return np.frombuffer(raw, np.uint8), at, counts[order], np.bincount(owner, minlength=len(index)), near
 
         def close() -> Iterator[pa.RecordBatch]:
             if have:
-                data, at, counts = fold(have) if len(have) > 1 else have[0]
+                data, at, counts, tokens, near = fold(have) if len(have) > 1 else have[0]
                 words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
                 trimmed = pa.array([x[:-1] for x in words.to_pylist()], pa.binary())
+                cuts = np.zeros(len(tokens) + 1, np.int64)
+                np.cumsum(2 * tokens, out=cuts[1:])
+                beside = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(tokens), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(near))]).cast(pa.binary())
                 for i in range(0, len(counts), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts[i : i + 50_000]), now, np.int32)), trimmed[i : i + 50_000], pa.array(counts[i : i + 50_000])], schema=WORDS)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts[i : i + 50_000]), now, np.int32)), trimmed[i : i + 50_000], pa.array(counts[i : i + 50_000]), beside[i : i + 50_000]], schema=WORDS)
 
         for batch in batches:
             g = batch.column("g").to_numpy()
@@ -187,23 +229,71 @@ def group_words(dealt: DataFrame) -> DataFrame:
                     w = split(part.column("text"), lower=True)
                     if len(w.starts):
                         index, inverse = distinct_spans(w.data, w.starts, w.ends)
-                        train = ~part.column("held_out").to_numpy(zero_copy_only=False)
-                        counts = np.bincount(inverse, train[w.owner()], len(index)).astype(np.int64)
+                        train = (~part.column("held_out").to_numpy(zero_copy_only=False))[w.owner()]
+                        counts = np.bincount(inverse, train, len(index)).astype(np.int64)
                         order = np.argsort(w.starts[index])
                         raw, at = Words(w.data, w.offsets, w.starts[index][order], w.ends[index][order], w.first).joined()
-                        have.append((np.frombuffer(raw, np.uint8), at, counts[order]))
+                        have.append((np.frombuffer(raw, np.uint8), at, counts[order], *neighbours(w, train, np.argsort(order)[inverse], len(index))))
                         if len(have) >= 4:
                             have = [fold(have)]
         yield from close()
 
-    return placed.select("g", "text", "held_out").mapInArrow(run, "g int, word binary, n long")
+    return placed.select("g", "text", "held_out").mapInArrow(run, "g int, word binary, n long, near binary")
+
+
+PLACED = pa.schema([("g", pa.int32()), ("word", pa.binary()), ("c", pa.int64()), ("lead", pa.bool_()), ("k", pa.int32())])
+
+
+def pull(moves: np.ndarray, end: int) -> np.ndarray:
+    """[c, k], [classes + c, k]: what a token gains in class k by class c before it, after it; the end's class takes none."""
+    n = len(moves)
+    to = np.log((moves + 0.5) / (moves.sum(axis=0, keepdims=True) + 0.5 * n))
+    after = np.log((moves.T + 0.5) / (moves.sum(axis=1)[None] + 0.5 * n))
+    out = np.concatenate([to, after])
+    out[:, end] = -np.inf
+    return out
+
 
+def counted(dealt: DataFrame, types: Types, group: np.ndarray, moves: np.ndarray) -> DataFrame:
+    """g, word, c (count in all training texts), lead (true once per word), k (its class)."""
+    shared = dealt.sparkSession.sparkContext.broadcast((types, group, pull(moves, int(group[types.end]))))
+    n = len(moves)
 
-def counted(dealt: DataFrame) -> DataFrame:
-    """g, word, c (count in all training texts), lead (true once per word)."""
-    by_word = Window.partitionBy("word")
-    words = group_words(dealt)
-    return words.select("g", "word", F.sum("n").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("g")) == 1).alias("lead"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, groups, gains = shared.value
+
+        def close(t: pa.RecordBatch, lead: np.ndarray) -> pa.RecordBatch:
+            word = np.cumsum(lead) - 1
+            c = np.bincount(word, t.column("n").to_numpy(), word[-1] + 1).astype(np.int64)
+            k = groups[kinds.of(*_spans(t.column("word").filter(pa.array(lead))))]
+            data, starts, ends = _spans(t.column("near"))
+            owner, pairs = np.repeat(word, (ends - starts) // 2), data.reshape(-1, 2)
+            for i in range(0, len(c), 4096):
+                m = min(4096, len(c) - i)
+                x, y = np.searchsorted(owner, [i, i + m])
+                at = (owner[x:y] - i) * 2 * n
+                table = np.bincount(np.concatenate([at + pairs[x:y, 0], at + n + pairs[x:y, 1]]), minlength=2 * n * m).reshape(m, 2 * n)
+                own = table.any(axis=1)
+                k[i : i + m][own] = np.argmax(table[own] @ gains[:, :-1], axis=1)
+            return pa.RecordBatch.from_arrays([t.column("g"), t.column("word"), pa.array(c[word]), pa.array(lead), pa.array(k[word].astype(np.int32))], schema=PLACED)
+
+        rest = None
+        for batch in batches:
+            t = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            if not t.num_rows:
+                continue
+            word = t.column("word")
+            lead = np.ones(len(word), bool)
+            lead[1:] = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+            cut = int(np.flatnonzero(lead)[-1])  # the last word may go on in the next batch
+            if cut:
+                yield close(t.slice(0, cut), lead[:cut])
+            rest = t.slice(cut)
+        if rest is not None:
+            yield close(rest, np.arange(rest.num_rows) == 0)
+
+    words = group_words(dealt, types, group).repartition(shuffle_partitions(dealt.sparkSession), "word").sortWithinPartitions("word", "g")
+    return words.mapInArrow(run, "g int, word binary, c long, lead boolean, k int")
 
 
 def pair_counts(dealt: DataFrame, types: Types) -> np.ndarray:
@@ -239,36 +329,21 @@ def sequences(w: Words, types: Types) -> tuple[np.ndarray, np.ndarray]:
     return before, after
 
 
-def fit(dealt: DataFrame, words: DataFrame, frequent: int = FREQUENT, tails: int = TAILS, classes: int = CLASSES) -> ClassModel:
-    lead = words.where(F.col("lead") & (F.col("c") > 0)).select("word", "c")
-    top = lead.orderBy(F.col("c").desc(), "word").limit(frequent).collect()
-    types = frequent_types([bytes(r["word"]) for r in top], tails)
+def fit(dealt: DataFrame, frequent: int = FREQUENT, tails: int = TAILS, classes: int = CLASSES) -> tuple[DataFrame, ClassModel]:
+    """The words with counts and classes, and the classes' own counts."""
+    types = frequent_types(frequent_hashes(dealt, frequent), tails)
     pairs = pair_counts(dealt, types)
     group = exchange(pairs, classes, fixed=types.end)
     onehot = np.zeros((types.end + 1, classes))
     onehot[np.arange(types.end + 1), group] = 1
-    moves = onehot.T @ pairs @ onehot
-    log_next = np.log10((moves + 0.5) / (moves.sum(axis=1, keepdims=True) + 0.5 * classes))
-    shared = dealt.sparkSession.sparkContext.broadcast((types, group))
-
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, groups = shared.value
-        tokens, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
-        for batch in batches:
-            g = groups[kinds.of(*_spans(batch.column("word")))]
-            c = batch.column("c").to_numpy()
-            tokens += np.bincount(g, c, classes).astype(np.int64)
-            distinct += np.bincount(g, minlength=classes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(tokens), pa.array(distinct)], ["k", "tokens", "kinds"])
-
-    got = lead.mapInArrow(totals, "k long, tokens long, kinds long").groupBy("k").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).collect()
+    words = stored(counted(dealt, types, group, onehot.T @ pairs @ onehot))
     tokens, kinds = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
-    for r in got:
+    for r in words.where(F.col("lead") & (F.col("c") > 0)).groupBy("k").agg(F.sum("c").alias("tokens"), F.count("*").alias("kinds")).collect():
         tokens[r["k"]], kinds[r["k"]] = r["tokens"], r["kinds"]
-    ends = dealt.where(~F.col("held_out")).count()
-    tokens[group[types.end]] += ends
-    kinds[group[types.end]] += ends > 0
-    return ClassModel(types, group, log_next, tokens, kinds, int(tokens.sum()), int(kinds.sum()), ends)
+    ends, end = dealt.where(~F.col("held_out")).count(), int(group[types.end])
+    tokens[end] += ends
+    kinds[end] += ends > 0
+    return words, ClassModel(end, tokens, kinds, int(tokens.sum()), int(kinds.sum()), ends)
 
 
 def _spans(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,10 +357,12 @@ def _spans(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
 
-SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+PARTS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("word_score", pa.float64()), ("classes", pa.binary())])
+KEPT = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
 
 
-def score(dealt: DataFrame, words: DataFrame, model: ClassModel) -> DataFrame:
+def parts(dealt: DataFrame, words: DataFrame, model: ClassModel) -> DataFrame:
+    """For each text all but the classes' bigrams, and its tokens' classes, a byte each, the end's last."""
     shared = dealt.sparkSession.sparkContext.broadcast(model)
 
     def run(docs: pa.Table, own: pa.Table) -> pa.Table:
@@ -297,24 +374,57 @@ def score(dealt: DataFrame, words: DataFrame, model: ClassModel) -> DataFrame:
             key = key[order]
             if not (key[1:] == key[:-1]).any():
                 break
-        count = own.column("c").to_numpy()[order]
+        count, place = own.column("c").to_numpy()[order], own.column("k").to_numpy()[order]
         out = []
         for batch in docs.combine_chunks().to_batches():
             for part in slices(batch):
                 w = split(part.column("text"), lower=True)
-                before, after = sequences(w, m.types)
-                c = np.full(len(after), m.ends, np.int64)
+                c, g = np.full(len(w.starts) + len(w), m.ends, np.int64), np.full(len(w.starts) + len(w), m.end, np.int64)
                 at = np.arange(len(w.starts)) + w.owner()
-                c[at] = count[np.searchsorted(key, span_hashes(w.data, w.starts, w.ends, seed))] if len(at) else 0
-                g = m.group[after]
-                log = m.log_next[m.group[before], g] + m.word_log(c, g)
+                if len(at):
+                    found = np.searchsorted(key, span_hashes(w.data, w.starts, w.ends, seed))
+                    c[at], g[at] = count[found], place[found]
                 cuts = w.first + np.arange(len(w) + 1)
-                per = [_per_text(x, cuts) for x in (log, m.base_log(c), (c > 0).astype(np.int64))]
-                out.append(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(np.diff(cuts)), pa.array(per[2].astype(np.int64)), pa.array(np.full(len(w), m.tokens)), pa.array(per[1]), pa.array(per[0])], schema=SCORES))
-        return pa.Table.from_batches(out, SCORES)
+                per = [_per_text(x, cuts) for x in (m.word_log(c, g), m.base_log(c), (c > 0).astype(np.int64))]
+                seq = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(w), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(g.astype(np.uint8))]).cast(pa.binary())
+                out.append(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(np.diff(cuts)), pa.array(per[2].astype(np.int64)), pa.array(np.full(len(w), m.tokens)), pa.array(per[1]), pa.array(per[0]), seq], schema=PARTS))
+        return pa.Table.from_batches(out, PARTS)
+
+    by_group = dealt.groupBy("g").cogroup(words.select("g", "word", "c", "k").groupBy("g"))
+    return by_group.applyInArrow(lambda a, b: run(a, b), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, word_score double, classes binary")
+
+
+def _steps(batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of (token before, token) of all texts, and where texts begin."""
+    data, starts, ends = _spans(batch.column("classes"))
+    before = np.full(len(data), end, np.int64)
+    before[1:] = data[:-1]
+    return before, data.astype(np.int64), np.append(starts, len(data))
+
+
+def score(dealt: DataFrame, words: DataFrame, model: ClassModel) -> DataFrame:
+    rows, n, end = stored(parts(dealt, words, model)), len(model.class_tokens), model.end
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n * n, np.int64)
+        for batch in batches:
+            before, after, _ = _steps(batch, end)
+            total += np.bincount(before * n + after, minlength=n * n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n * n)), pa.array(total)], ["pair", "n"])
+
+    moves = np.zeros(n * n)
+    for r in rows.where(~F.col("held_out")).select("classes").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        moves[r["pair"]] = r["n"]
+    moves = moves.reshape(n, n)
+    log_next = np.log10((moves + 0.5) / (moves.sum(axis=1, keepdims=True) + 0.5 * n))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, after, cuts = _steps(batch, end)
+            total = batch.column("word_score").to_numpy() + _per_text(log_next[before, after], cuts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEPT), pa.array(total)], [*KEPT, "score"])
 
-    by_group = dealt.groupBy("g").cogroup(words.select("g", "word", "c").groupBy("g"))
-    return by_group.applyInArrow(lambda a, b: run(a, b), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return rows.mapInArrow(add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _per_text(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -323,5 +433,5 @@ def _per_text(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def op10(docs: DataFrame) -> DataFrame:
     dealt = deal(docs)
-    words = checkpoint(counted(dealt))
-    return score(dealt, words, fit(dealt, words))
+    words, model = fit(dealt)
+    return score(dealt, words, model)

@@ -95,6 +95,18 @@ def test_graph_scores_by_group(spark):
     assert {(r["graph_id"], r["scheme"]): r["correct"] for r in graphs.slot_scores(rows).collect()}[(1, "exact")] == 3
 
 
+def test_planned_queries_take_whole_inputs(spark, monkeypatch):
+    d = "/root/testdata/sf0.001"
+    n = {x: spark.read.parquet(f"{d}/{x}.parquet").count() for x in ("documents", "customer")}
+    assert catalogue.QUERIES["safe_correction"](spark, d).select("doc_id").count() == n["documents"]
+    assert catalogue.QUERIES["length_buckets_documents"](spark, d).select("doc_id").count() == n["documents"]
+    assert catalogue.QUERIES["lexnorm_metrics_documents"](spark, d).first()["recall"] > 0
+    slots = catalogue.QUERIES["slot_scores"](spark, d).where("scheme = 'exact'").agg({"possible": "sum"}).first()[0]
+    assert slots == 3 * 2 * n["customer"]
+    monkeypatch.setattr(graphs, "graph_scores", lambda rows: rows)
+    assert catalogue.QUERIES["graph_matching_scores"](spark, d).count() == 2 * 2 * n["customer"]
+
+
 def test_every_query_has_a_stable_schema(spark):
     for name, run in catalogue.QUERIES.items():
         df = run(spark, "/root/testdata/sf0.001")

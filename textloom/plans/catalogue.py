@@ -93,9 +93,9 @@ def length_ratio_guard(t):
 
 @query()
 def safe_correction(t):
-    """Whether dropping doubled words and stray blanks would be a safe correction, benchmark passages as texts."""
+    """Whether dropping articles would be a safe correction of each document."""
     new = F.regexp_replace("text", r"\b(the|de|la) ", "")
-    return t("benchmark").select("item_id", parsing.safe_udf("text", new).alias("safe"))
+    return t("documents").select("doc_id", parsing.safe_udf("text", new).alias("safe"))
 
 
 @query(r"""WITH l AS (SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE contains(line, ':')),
@@ -292,19 +292,20 @@ def infonce_loss(t):
     return _pairs(t).agg(F.round(F.avg(F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))), 4).alias("loss"))
 
 
+def _sides(t) -> DataFrame:
+    """All star triples of each nation's graph, gold and predicted."""
+    gold, pred = gold_pred(t)
+    return gold.select(F.lit("gold").alias("side"), "*").unionByName(pred.select(F.lit("pred").alias("side"), "*"))
+
+
 @query()
 def graph_matching_scores(t):
-    """Assignment scores per nation over its distinct facts about segments, a cut of the prediction by balance."""
-    c = star(t).where("p = 'buys_for'").groupBy("graph_id", "p", "o").agg(F.min("pos").alias("pos"), F.avg("c_acctbal").alias("b"))
-    base = c.select("graph_id", "pos", F.concat(F.lit("nation "), "graph_id").alias("s"), "p", "o", "b")
-    return graphs.graph_scores(base.select(F.lit("gold").alias("side"), "graph_id", "pos", "s", "p", "o").unionByName(base.select(F.lit("pred").alias("side"), "graph_id", "pos", "s", "p", F.when(F.col("b") < 4500, F.lower("o")).otherwise(F.reverse("o")).alias("o"))))
+    return graphs.graph_scores(_sides(t))
 
 
 @query()
 def slot_scores(t):
-    c = star(t).where("p = 'buys_for'").groupBy("graph_id", "p", "o").agg(F.min("pos").alias("pos"), F.avg("c_acctbal").alias("b"))
-    base = c.select("graph_id", "pos", F.concat(F.lit("nation "), "graph_id").alias("s"), "p", "o", "b")
-    return graphs.slot_scores(base.select(F.lit("gold").alias("side"), "graph_id", "pos", "s", "p", "o").unionByName(base.select(F.lit("pred").alias("side"), "graph_id", "pos", "s", "p", F.when(F.col("b") < 4500, F.lower("o")).otherwise(F.col("o")).alias("o"))))
+    return graphs.slot_scores(_sides(t))
 
 
 # --- review, resume, normalisation
@@ -365,6 +366,11 @@ def length_buckets(t):
     return review.length_buckets(t("benchmark"), "item_id", F.size(F.split("text", " ")).cast("long"), 16)
 
 
+@query("SELECT doc_id, sent_len, (row_number() OVER (PARTITION BY sent_len ORDER BY doc_id) - 1) // 16 AS batch FROM (SELECT doc_id, len(string_split(text, ' '))::BIGINT AS sent_len FROM documents)")
+def length_buckets_documents(t):
+    return review.length_buckets(t("documents"), "doc_id", F.size(F.split("text", " ")).cast("long"), 16)
+
+
 @query("""WITH x AS (SELECT item_id AS batch, unnest(string_split(text, ' ')) AS source FROM benchmark), y AS (SELECT batch, source, lower(source) AS target, CASE WHEN length(source) > 3 THEN lower(source) ELSE source END AS predicted FROM x),
 b AS (SELECT batch, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (source <> target), 0), 0) AS r, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (predicted <> source), 0), 0) AS p,
 coalesce(count(*) FILTER (source = target AND predicted = target) / nullif(count(*) FILTER (source = target), 0), 0) AS k, avg((predicted = target)::INT) AS a FROM y GROUP BY batch)
@@ -374,6 +380,15 @@ def lexnorm_metrics(t):
     return review.lexnorm_metrics(tokens.withColumn("target", F.lower("source")).withColumn("predicted", F.when(F.length("source") > 3, F.lower("source")).otherwise(F.col("source"))))
 
 
+@query("""WITH x AS (SELECT doc_id AS batch, unnest(string_split(text, ' ')) AS source FROM documents), y AS (SELECT batch, source, lower(source) AS target, CASE WHEN length(source) > 3 THEN lower(source) ELSE source END AS predicted FROM x),
+b AS (SELECT batch, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (source <> target), 0), 0) AS r, coalesce(count(*) FILTER (source <> target AND predicted = target) / nullif(count(*) FILTER (predicted <> source), 0), 0) AS p,
+coalesce(count(*) FILTER (source = target AND predicted = target) / nullif(count(*) FILTER (source = target), 0), 0) AS k, avg((predicted = target)::INT) AS a FROM y GROUP BY batch)
+SELECT round(100 * avg(r), 4) AS recall, round(100 * avg(p), 4) AS precision, round(100 * avg(k), 4) AS kept_recall, round(100 * avg(a), 4) AS accuracy FROM b""")
+def lexnorm_metrics_documents(t):
+    tokens = t("documents").select(F.col("doc_id").alias("batch"), F.explode(F.split("text", " ")).alias("source"))
+    return review.lexnorm_metrics(tokens.withColumn("target", F.lower("source")).withColumn("predicted", F.when(F.length("source") > 3, F.lower("source")).otherwise(F.col("source"))))
+
+
 @query("SELECT item_id, text, 'A. ' || split_part(text, ' ', 1) || chr(10) || 'B. ' || split_part(text, ' ', 2) || chr(10) || 'C. None of the above' AS choices FROM benchmark")
 def choice_blocks(t):
     words = F.slice(F.split("text", " "), 1, 2)

@@ -292,6 +292,16 @@ def test_raking_meets_targets_and_distributes_alike(spark):
     assert (near["probability"] * tokens).sum() == pytest.approx(0.3 * tokens.sum())
 
 
+def test_raking_has_one_setting_and_tells_when_it_ends_early(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x", "p", 10), ("a", "y", "p", 900), ("b", "y", "q", 7), ("b", "z", "p", 50), ("c", "z", "q", 3), ("c", "x", "q", 1)], "source string, lang string, topic string, tokens long")
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
+    shares = []
+    for n in (100, 2):
+        with pytest.warns(RuntimeWarning, match="2 rounds"):
+            shares.append(mixing.calibrate(cells, 0.3, mixing.POWERS, local_cells=n).orderBy("source", "lang", "topic").toPandas()["share"])
+    assert np.allclose(*shares, atol=1e-12)
+
+
 def test_pipeline_matches_a_chain_by_hand(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     folder = "/root/testdata/sf0.001"

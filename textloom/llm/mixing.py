@@ -13,6 +13,8 @@ tokens are left out and the rest rescaled. Empty tables give empty results.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ def topic_of(text: Column) -> Column:
     )
 
 
+#: Of the raking, wherever the cells are.
+ROUNDS, TOLERANCE = 500, 1e-10
+
+
 def n_tokens_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
@@ -43,21 +49,27 @@ def uniform_of(seed: int, *columns: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(1 << 53))
 
 
-def rake(cells: np.ndarray, index: list[np.ndarray], targets: list[np.ndarray], rounds: int = 500, tolerance: float = 1e-10) -> np.ndarray:
-    """Scale positive cell masses until each marginal is its target; stops when no marginal is off by more than the tolerance."""
+def rake(cells: np.ndarray, index: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
+    """Scale positive cell masses until each marginal is its target; stops when no marginal is off by more than TOLERANCE."""
     w = cells / cells.sum()
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
         off = 0.0
         for place, target in zip(index, targets):
             have = np.bincount(place, w, len(target))
             factor = np.divide(target, have, out=np.zeros_like(target), where=have > 0)
             off = max(off, float(np.abs(have - target).max()))
             w = w * factor[place]
-        if off < tolerance:
+        if off < TOLERANCE:
             break
+    else:
+        _not_converged(off)
     return w
 
 
+def _not_converged(off: float) -> None:
+    warnings.warn(f"raking stopped after {ROUNDS} rounds with a marginal still off by {off:.3g}", RuntimeWarning, stacklevel=3)
+
+
 def probabilities(tokens: np.ndarray, share: np.ndarray, fraction: float) -> np.ndarray:
     """Keep-probability of each cell for a budget of fraction of all tokens; what cells can't give goes to the others."""
     p = np.ones(len(tokens))
@@ -106,7 +118,7 @@ def calibrate(cells: DataFrame, fraction: float, powers: dict[str, float], given
     return spark.createDataFrame(list(got[[*AXES, "share", "probability"]].itertuples(index=False, name=None)), schema)
 
 
-def _calibrate_distributed(cells: DataFrame, fraction: float, powers: dict[str, float], given: dict[str, dict[str, float]], rounds: int = 60, tolerance: float = 1e-8) -> DataFrame:
+def _calibrate_distributed(cells: DataFrame, fraction: float, powers: dict[str, float], given: dict[str, dict[str, float]]) -> DataFrame:
     """The same raking with the cell table kept distributed; only totals reach the driver."""
     total = cells.agg(F.sum("tokens")).first()[0]
     now = cells.withColumn("share", F.col("tokens") / F.lit(float(total)))
@@ -121,7 +133,7 @@ def _calibrate_distributed(cells: DataFrame, fraction: float, powers: dict[str,
         whole = mass.agg(F.sum("raw")).first()[0]
         now = now.join(mass.select(axis, (F.col("raw") / F.lit(whole)).alias(f"to_{axis}")), axis)
     now = checkpoint(now)
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
         off = 0.0
         for axis in AXES:
             have = now.groupBy(axis).agg(F.sum("share").alias("have"))
@@ -129,8 +141,10 @@ def _calibrate_distributed(cells: DataFrame, fraction: float, powers: dict[str,
             now = checkpoint(joined.withColumn("share", F.when(F.col("have") > 0, F.col("share") * F.col(f"to_{axis}") / F.col("have")).otherwise(0.0)).drop("have"))
             off = max(off, now.agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0])
             now = now.drop("off")
-        if off < tolerance:
+        if off < TOLERANCE:
             break
+    else:
+        _not_converged(off)
     budget, now = fraction * float(total), now.withColumn("full", F.col("tokens") <= 0)
     while True:
         free = ~F.col("full")

@@ -19,6 +19,7 @@ empty table gives a store without shards. Strings of special tokens in a text ar
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,17 +32,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.common import bounded_sample, estimated_bytes, fresh_dir, shuffle_partitions
-from textloom.llm.words import SPACES, distinct_spans, flat, slices, split_bytes
+from textloom.llm.words import SPACES, flat, slices, split_bytes
 
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_ROWS = 400
 #: Pieces of one generation of an encoder's cache; two are held.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 250_000
+#: Text that is cut, looked up and laid out at a time.
+SLICE = 8 << 20
 #: White space beyond ASCII, and ASCII controls that some pattern engines count as white space; rare texts with these are encoded whole.
 ODD_SPACE = "[\x1c-\x1f\u0085   -     　]"
 
 
+def _byte_signs() -> dict[int, int]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: b for b in printable}, **{b: 256 + k for k, b in enumerate(others)}}
+
+
+BYTE_SIGNS = _byte_signs()
+LETTERS, STOPS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+STOPS[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"]] = True
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -52,81 +68,93 @@ class Encoder:
     """Byte-level BPE of whole texts.
 
     The pre-tokenizer never joins a piece across a word boundary, so a slice of texts is cut into words (with one
-    leading blank) and runs of white space, each distinct piece is encoded once, and ids are laid out by place.
+    leading blank) and runs of white space. Arrow encodes the slice's pieces as places in a dictionary, each distinct
+    piece is tokenised once, and ids are laid out by place.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
-        # a symbol of a byte-level vocabulary is one byte; special tokens, which texts never yield, don't matter
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.top_id = max(vocabulary.values())
+        # letters alone, with a blank before them or none, are one word of the byte-level pre-tokenizer: the model takes them as they are
+        self.direct = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def pieces(self, raw: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each piece, through a cache of two generations."""
+        """Little-endian unsigned 32-bit ids of each of the distinct pieces, through a cache of two generations."""
         young, old = self.young, self.old
-        missing = []
-        for p in raw:
-            if p not in young:
-                known = old.get(p)
-                if known is None:
-                    missing.append(p)
-                else:
-                    young[p] = known
-        # blank-led words can be told apart again in one long text; everything else is encoded by itself
-        led = [p for p in missing if len(p) > 1 and p[0] == 0x20 and p[1] not in b" \t\n\v\f\r"]
-        for i in range(0, len(led), 4096):
-            some = led[i : i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in some])) + 1
-            packed, at = ids.tobytes(), 0
-            for p, end in zip(some, (4 * cuts).tolist()):
-                young[p] = packed[at:end]
-                at = end
-        rest = list(set(missing).difference(led))
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)):
-            young[p] = np.array(e.ids, np.uint32).tobytes()
-        out = [young[p] for p in raw]
+        out = list(map(young.get, raw))
+        missing = [i for i, x in enumerate(out) if x is None]
+        fresh = []
+        for i in missing:
+            known = old.get(raw[i])
+            if known is None:
+                fresh.append(raw[i])
+            else:
+                young[raw[i]] = known
+        rest, direct = [], self.direct
+        tokenize = self.tokenizer.model.tokenize
+        for p in fresh:
+            word = p.decode()
+            if direct and (word[1:] if word[0] == " " else word).isalpha():
+                ids = [t.id for t in tokenize(p.decode("latin-1").translate(BYTE_SIGNS))]
+                young[p] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(p)
+        for i in range(0, len(rest), 4096):
+            some = rest[i : i + 4096]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+                young[p] = struct.pack(f"<{len(e)}I", *e.ids)
+        for i in missing:
+            out[i] = young[raw[i]]
         if len(young) > CACHE_ENTRIES:
             self.old, self.young = young, {}
         return out
 
-    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+    def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each text's end id included; where each text begins, and the end of the last)."""
         odd = pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)
-        plain = pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts)
-        out = self._plain(plain)
+        tokens, cuts = self._plain(pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts) if odd.any() else texts, end_id)
+        if not odd.any():
+            return tokens, cuts
         where = np.flatnonzero(odd)
-        for i, ids in zip(where, self.whole([texts[int(i)].as_py() for i in where])):
-            out[i] = ids
-        return out
+        found = dict(zip(where.tolist(), self.whole([texts[int(i)].as_py() for i in where])))
+        parts = [np.append(np.frombuffer(found[i], np.uint32), np.uint32(end_id)) if i in found else tokens[a:b] for i, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()))]
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
-    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+    def _plain(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = flat(texts)
-        if not len(data):
-            return []
-        starts, ends = piece_spans(data, offsets)
-        if not len(starts):
-            return [np.zeros(0, np.uint32) for _ in range(len(texts))]
-        index, inverse = distinct_spans(data, starts, ends)
-        raw = data.tobytes()
-        ids = self.pieces([raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())])
-        pool = np.frombuffer(b"".join(ids), np.uint32)
-        size = np.array([len(x) // 4 for x in ids])
-        begin = np.cumsum(size) - size
-        sizes = size[inverse]
-        ahead = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(sizes, out=ahead[1:])
-        tokens = pool[np.repeat(begin[inverse] - ahead[:-1], sizes) + np.arange(ahead[-1])]
-        cuts = ahead[np.searchsorted(starts, offsets)]
-        return [tokens[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        starts, _ = piece_spans(data, offsets)
+        ends = offsets[1:] - 1  # the sign between texts stands for the end id
+        more = stops(data) if self.direct else starts[:0]
+        tiles = np.append(np.sort(np.concatenate([starts, ends, more]), kind="stable"), len(data))
+        cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(tiles) - 1, [None, pa.py_buffer(tiles), pa.py_buffer(data)]).dictionary_encode()
+        ids = [*self.pieces(cut.dictionary.to_pylist()), struct.pack("<I", end_id)]
+        codes = cut.indices.to_numpy().copy()
+        places = np.searchsorted(tiles[:-1], ends)
+        codes[places] = len(ids) - 1
+        begin = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum([len(x) // 4 for x in ids], out=begin[1:])
+        laid = pa.ListArray.from_arrays(pa.array(begin), pa.array(np.frombuffer(b"".join(ids), np.uint32))).take(pa.array(codes))
+        at = laid.offsets.to_numpy()
+        return laid.values.to_numpy()[at[0] : at[-1]], np.append(0, at[places + 1] - at[0]).astype(np.int64)
+
+
+def stops(data: np.ndarray) -> np.ndarray:
+    """Where ASCII punctuation follows a Latin letter: a word of the byte-level pre-tokenizer ends there, but for apostrophes."""
+    letter = LETTERS[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # A to y with accents, without the two signs among them
+    return np.flatnonzero(STOPS[data[1:]] & letter[:-1]) + 1
 
 
 def piece_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,14 +192,16 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str, dtype: np.dtype, end_id: int, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
-    """From the serialized ids of about rows documents, a bounded sample; of each at most 4096 ids."""
+    """From the serialized ids of about rows whole documents, a bounded sample; a document gives a sample string for every 4096 ids."""
     sample = bounded_sample(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), "doc_id", rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                ids = encoder(path).batch(part.column("text"))
-                yield pa.RecordBatch.from_arrays([pa.array([np.append(x, end_id).astype(dtype)[:4096].tobytes() for x in ids], pa.binary())], ["ids"])
+                tokens, cuts = encoder(path).batch(part.column("text"), end_id)
+                raw = tokens.astype(dtype)
+                pieces = [raw[i : min(i + 4096, b)].tobytes() for a, b in zip(cuts.tolist(), cuts[1:].tolist()) for i in range(a, b, 4096)]
+                yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], ["ids"])
 
     got = sorted(sample.mapInArrow(run, "ids binary").toArrow()["ids"].to_pylist())
     try:
@@ -185,6 +215,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
     dtype = np.dtype(f"<u{id_bytes}")
+    if max(encoder(path).top_id, end_id) > np.iinfo(dtype).max:
+        raise ValueError(f"ids of this tokenizer don't fit in {id_bytes} bytes")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = train_dictionary(rows, path, dtype, end_id)
     digest = hashlib.sha256(words).hexdigest()
@@ -210,12 +242,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
             return pa.RecordBatch.from_pylist([row], SHARD)
 
         for batch in batches:
-            for some in slices(batch, limit=2 << 20):
-                for doc_id, tokens in zip(some.column("doc_id").to_pylist(), encoder(path).batch(some.column("text"))):
-                    raw = np.append(tokens, np.uint32(end_id)).astype(dtype)
-                    frames.append(pack.compress(raw.tobytes()))
+            for some in slices(batch, limit=SLICE):
+                tokens, cuts = encoder(path).batch(some.column("text"), end_id)
+                raw, places = memoryview(tokens.astype(dtype)).cast("B"), (cuts * dtype.itemsize).tolist()
+                for doc_id, n, a, b in zip(some.column("doc_id").to_pylist(), np.diff(cuts).tolist(), places, places[1:]):
+                    frames.append(pack.compress(raw[a:b]))
                     ids.append(doc_id)
-                    counts.append(len(raw))
+                    counts.append(n)
                     held += len(frames[-1]) + 24
                     if held >= SHARD_BYTES:
                         yield close()

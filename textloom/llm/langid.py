@@ -2,15 +2,18 @@
 
 A text is cut into fixed-length byte windows. Each byte has a small embedding; filters of several widths slide
 over the embeddings, each filter keeps its maximum over the window, and a softmax turns the maxima into language
-probabilities. The network is trained in numpy on a bounded sample of labelled texts and applied to batches of
-windows that cover every whole text.
+probabilities. The network is trained in numpy on a bounded sample of labelled texts, so many of each language, from
+crops drawn anywhere in them, and applied to batches of windows that cover every whole text.
 
 Defined results: null text, or text without a letter: `und`, score 0. Null or repeated ids: each row is predicted
-by its own text. No labelled rows at all: `und`, score 0. Only doc_id, text and the label are read; further columns are ignored.
+by its own text. No labelled rows at all: `und`, score 0. Languages of equal probability: the first by name. Very long
+texts are read whole, a block of windows at a time. Empty tables give empty results. Only doc_id, text and the label are
+read; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import bounded_sample, id_remainder
+from textloom.llm.common import id_remainder
 from textloom.llm.words import LOWER, flat, slices
 
 UNDETERMINED = "und"
@@ -64,26 +67,26 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def crops_of(text: bytes, window: int, crops: int) -> np.ndarray:
+    """(n, window): crops from anywhere in the text, every second one short to teach short texts, by a seed of the text's own."""
+    rng = np.random.default_rng(zlib.crc32(text))
+    raw = LOWER[np.frombuffer(text, np.uint8)]
+    out = np.zeros((crops if len(raw) > window else 2, window), np.uint8)
+    for k, row in enumerate(out):
+        size = window if k % 2 == 0 else int(rng.integers(8, window))
+        at = int(rng.integers(0, max(1, len(raw) - size + 1)))
+        row[: len(raw[at : at + size])] = raw[at : at + size]
+    return out
+
+
 def train(
-    texts: list[bytes], labels: list[str], widths: tuple[int, ...] = (2, 3, 4), per_width: int = 12, dims: int = 6,
-    window: int = 128, crops: int = 6, epochs: int = 10, batch: int = 128, rate: float = 4e-3, seed: int = 7,
+    x: np.ndarray, labels: list[str], widths: tuple[int, ...] = (2, 3, 4), per_width: int = 12, dims: int = 6,
+    epochs: int = 10, batch: int = 128, rate: float = 4e-3, seed: int = 7,
 ) -> ByteConvNet:
-    """Adam on cross-entropy over random crops of the texts; short crops teach the network short texts."""
+    """Adam on cross-entropy over crops (rows of bytes) and their languages."""
     rng = np.random.default_rng(seed)
-    languages = sorted(set(labels))
-    where = {x: i for i, x in enumerate(languages)}
-    inputs, targets = [], []
-    for text, label in zip(texts, labels):
-        raw = LOWER[np.frombuffer(text, np.uint8)]
-        for k in range(crops if len(raw) > window else 2):
-            size = window if k % 2 == 0 else int(rng.integers(8, window))
-            at = int(rng.integers(0, max(1, len(raw) - size + 1)))
-            row = np.zeros(window, np.uint8)
-            crop = raw[at : at + size]
-            row[: len(crop)] = crop
-            inputs.append(row)
-            targets.append(where[label])
-    x, y = np.array(inputs), np.array(targets)
+    languages, y = np.unique(np.array(labels, dtype=object), return_inverse=True)
+    languages, window = languages.tolist(), x.shape[1]
     width, count = max(widths), per_width * len(widths)
     mask = np.zeros((width * dims, count), np.float32)
     for i, w in enumerate(widths):
@@ -132,49 +135,59 @@ def train(
     return net
 
 
-def windows_of(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """((n, window) bytes of consecutive windows over whole texts, owner of each, bytes of text in each).
+def windows_of(texts: pa.Array, window: int, block: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (bytes of consecutive windows over whole texts, owner of each, bytes of text that are new in each).
 
     The last window of a text that has several begins early, so that it is full too.
     """
     data, offsets = flat(texts)
-    data = LOWER[data]
     sizes = np.diff(offsets) - 1
     counts = np.maximum(1, -(-sizes // window)) if len(sizes) else sizes
-    owner = np.repeat(np.arange(len(sizes)), counts)
-    rank = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = np.minimum(rank * window, np.maximum(0, sizes[owner] - window))
-    size = np.minimum(window, sizes[owner])
-    fresh = np.minimum(size, sizes[owner] - rank * window)
+    first = np.cumsum(counts) - counts
     at = np.arange(window)[None]
-    index = np.minimum((offsets[owner] + start)[:, None] + at, max(0, len(data) - 1))
-    rows = np.where(at < size[:, None], data[index] if len(data) else 0, 0).astype(np.uint8)
-    return rows, owner, fresh
+    for lo in range(0, int(counts.sum()), block):
+        place = np.arange(lo, min(lo + block, int(counts.sum())))
+        owner = np.searchsorted(first, place, "right") - 1
+        rank, whole = place - first[owner], sizes[owner]
+        size = np.minimum(window, whole)
+        index = np.minimum((offsets[owner] + np.minimum(rank * window, np.maximum(0, whole - window)))[:, None] + at, len(data) - 1)
+        yield np.where(at < size[:, None], LOWER[data[index]], 0).astype(np.uint8), owner, np.minimum(size, whole - rank * window)
 
 
 def predict(net: ByteConvNet, texts: pa.Array, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """(place of the likeliest language, its probability) of each text: mean of its windows' log-probabilities by bytes."""
-    rows, owner, fresh = windows_of(texts, net.window)
-    logs = np.concatenate([net.log_probabilities(rows[i : i + block]) for i in range(0, len(rows), block)] or [np.zeros((0, len(net.languages)))])
-    total = np.zeros((len(texts), len(net.languages)))
-    np.add.at(total, owner, logs * fresh[:, None])
-    weight = np.bincount(owner, fresh, len(texts))
-    mean = total / np.maximum(weight, 1)[:, None]
-    p = np.exp(_log_softmax(mean))
+    total, weight = np.zeros((len(texts), len(net.languages))), np.zeros(len(texts))
+    for rows, owner, fresh in windows_of(texts, net.window, block):
+        np.add.at(total, owner, net.log_probabilities(rows) * fresh[:, None])
+        np.add.at(weight, owner, fresh)
+    p = np.exp(_log_softmax(total / np.maximum(weight, 1)[:, None]))
     return p.argmax(axis=1), p.max(axis=1)
 
 
-def fit(docs: DataFrame, max_rows: int = 3000, max_text_bytes: int = 20_000, **options) -> ByteConvNet | None:
-    """Train on about max_rows of the given labelled documents (text and lang not null), a bounded sample.
+def fit(docs: DataFrame, max_rows: int = 800, window: int = 128, crops: int = 6, **options) -> ByteConvNet | None:
+    """Train on about max_rows documents of each language (text and lang not null), all of a rarer one: a bounded sample.
 
-    Of a sampled text the training crops come from a piece of at most max_text_bytes characters.
+    Crops are drawn from whole texts on the executors; the driver gets crops * window bytes a document.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    sample = bounded_sample(rows.select("doc_id", "text", "lang"), "doc_id", max_rows)
-    got = sample.select(F.substring("text", 1, max_text_bytes).alias("text"), F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("k")).toArrow().sort_by([("k", "ascending"), ("lang", "ascending")])
-    if not got.num_rows:
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
+    if not sizes:
+        return None
+    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, max_rows / n))])
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = [crops_of(t.encode(), window, crops).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), part.column("lang")], ["crops", "lang"])
+
+    got = sample.select("text", "lang").mapInArrow(run, "crops binary, lang string").toArrow()
+    drawn = sorted(zip(got["crops"].to_pylist(), got["lang"].to_pylist()))
+    if not drawn:
         return None
-    return train([x.encode() for x in got["text"].to_pylist()], got["lang"].to_pylist(), **options)
+    x = np.frombuffer(b"".join(c for c, _ in drawn), np.uint8).reshape(-1, window)
+    return train(x, [lang for c, lang in drawn for _ in range(len(c) // window)], **options)
 
 
 def identify(docs: DataFrame, net: ByteConvNet | None) -> DataFrame:

@@ -18,32 +18,42 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models don't predict as toxic. Learnt from the labels of ids whose crc32 mod 5 is not 0;
+    without labels of both classes all stay. Null and empty texts are rated as such; each row by its own text.
+    """
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(id_remainder(F.col("doc_id"), 5) != 0))
     return toxicity.rate(_packed(docs), model, ["row"]).where("predicted = 0").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the row with the smallest doc_id stays; among rows with that id, one."""
+    """Of each group of linked documents one stays: the smallest doc_id (null after all others), then the smallest text key.
+
+    Groups are told apart by their root, so unlike texts under one id all stay; of repeated rows one does. An empty or
+    null text is in the group of texts without words.
+    """
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key_text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *key)
     prints = checkpoint(simhash.fingerprints(rows, keep=["doc_id", "key_id", "key_text"]))
-    found = prints.join(simhash.near_duplicates(prints), "fingerprint")
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id"), "key_id").agg(F.min("key_text").alias("key_text"))
-    kept = _packed(docs).select(*key, "row").join(stays.select("key_id", "key_text"), ["key_id", "key_text"])
+    found = prints.join(simhash.near_duplicates(prints).select("fingerprint", "root"), "fingerprint")
+    stays = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "key_id", "key_text")).alias("first")).select("first.key_id", "first.key_text")
+    kept = _packed(docs).select(*key, "row").join(stays, ["key_id", "key_text"])
     return kept.dropDuplicates(["key_id", "key_text"]).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents under a twentieth of whose words stand in benchmark windows; null and empty texts stay, rows are judged singly."""
     found = decontamination.hits(_packed(docs), table(spark, sf_dir, "benchmark"), keep=["text", "row"])
     return decontamination.with_verdict(found).where("not contaminated").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the calibrated mix samples; repeated rows share one fate, null texts weigh nothing and stay."""
     return mixing.sample(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the store; a null text has the end id alone."""
     return tokenstore.read_index(spark, tokenstore.write(docs, fresh_dir(spark, "tokens")))
 
 

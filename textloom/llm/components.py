@@ -1,6 +1,7 @@
 """Connected components of an edge table, by alternating large-star and small-star steps (Kiveris et al., 2014).
 
-Edges stay distributed; a step is a minimum per node and a join on the node, both of which spread a hub's edges.
+Edges stay distributed. A step is a minimum per node, which combines before the shuffle, and a join of the edges with one
+row for each node; where a hub has so many edges that its partition is skewed, adaptive execution splits the edges' side.
 Each round is checkpointed to the shared folder.
 """
 

@@ -1,8 +1,9 @@
 """SimHash near-duplicates by bit-sliced comparison.
 
 Fingerprints are 64 bits over lower-cased 3-word shingles. Two fingerprints that differ in at most `radius` bits agree
-on some of the `radius + 1` bands of the 64 bits (pigeonhole), so each distinct fingerprint goes to one bucket per
-band. A bucket stores its fingerprints vertically, one bit plane per bit; a query is compared with 64 of them per word
+on at least m - radius of m bands of the 64 bits (pigeonhole), so each distinct fingerprint goes to one bucket for every
+choice of that many bands. m follows the number of distinct fingerprints (`bands_for`): keys widen as the table grows, so
+that a bucket of evenly spread fingerprints keeps about `LOAD` of them while their copies stay few. A bucket stores its fingerprints vertically, one bit plane per bit; a query is compared with 64 of them per word
 operation: planes that differ are added into bitwise counters by carry-save steps, and a block is abandoned once every
 lane has passed the radius. A bucket yields a spanning forest of its links, not all pairs; no link is lost to the
 components. A bucket over `chunk` fingerprints is dealt as pairs of chunks to separate tasks.
@@ -14,6 +15,7 @@ Empty tables give empty results; further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,8 @@ from textloom.llm.words import slices, split
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Fingerprints of a bucket that one task compares with each other.
 CHUNK = 512
+#: Fingerprints that an evenly filled bucket should hold at most.
+LOAD = 64
 #: Buckets up to this size are compared together, a lane for each pair.
 SMALL = 64
 _FULL = np.uint64((1 << 64) - 1)
@@ -169,20 +173,36 @@ def forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray
     return nodes[at[:, 0]], nodes[at[:, 1]]
 
 
-def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """(u, v): links among distinct fingerprints (column fingerprint, bigint), enough to connect each component.
+def bands_for(n: int, radius: int = RADIUS, load: int = LOAD) -> int:
+    """The fewest bands with which n evenly spread fingerprints fill a bucket with at most load of them on average.
 
-    Bands grow narrower than they need be at no size: with radius + 1 bands of 64 / (radius + 1) bits each, the load
-    of a bucket is spread by chunks instead.
+    With radius 3: 4 bands (4 keys of 16 bits) up to 4 million, 5 (10 of about 26) up to 3 thousand million, 6 (20 of
+    32) up to 270 thousand million.
     """
     bands = radius + 1
+    while bands < 64 and n > load << min((64 // bands) * (bands - radius), 60):
+        bands += 1
+    return bands
+
+
+def masks(bands: int, radius: int = RADIUS) -> list[int]:
+    """The bits of each choice of bands - radius of the bands, as signed 64-bit numbers."""
     cuts = [64 * b // bands for b in range(bands + 1)]
-    keyed = prints.select(
-        F.posexplode(F.array(*[F.shiftrightunsigned("fingerprint", a).bitwiseAND(F.lit((1 << (b - a)) - 1) if b - a < 64 else F.lit(-1)) for a, b in zip(cuts, cuts[1:])])).alias("band", "key"), "fingerprint"
-    )
+    one = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
+    return [x - (1 << 64) if x >> 63 else x for x in map(sum, itertools.combinations(one, bands - radius))]
+
+
+def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, bands: int | None = None) -> DataFrame:
+    """(u, v): links among distinct fingerprints (column fingerprint, bigint), enough to connect each component.
+
+    bands: as `bands_for` says for the number of fingerprints, unless given. Only a bucket that is fuller than evenly
+    spread fingerprints make it is dealt as pairs of chunks.
+    """
+    chosen = masks(bands or bands_for(prints.count(), radius), radius)
+    keyed = prints.select(F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")) for m in chosen])).alias("band", "key"), "fingerprint")
     load = keyed.groupBy("band", "key").agg(F.count("*").alias("n"))
     large = load.where(F.col("n") > chunk).select("band", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    # at most bands * N / chunk buckets are large, a hundredth of the fingerprints: Spark chooses the join
+    # at most a chunk-th of the keyed rows are large buckets: Spark chooses the join
     dealt = keyed.join(large, ["band", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int"))
     # a bucket of one chunk meets itself, chunk i of several meets every chunk
@@ -234,12 +254,15 @@ def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFr
 
 
 def near_duplicates(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """Distinct fingerprints with smallest doc_id, component_id (smallest doc_id reachable) and links' component."""
+    """Of each distinct fingerprint: component_id (smallest doc_id reachable) and root, its component's own name.
+
+    Components of unlike texts may share a component_id where ids repeat or are null; never a root.
+    """
     distinct = checkpoint(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     linked = components(links(distinct.select("fingerprint"), radius, chunk))
     joined = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("component", "fingerprint"))
     lowest = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return joined.join(lowest, "root").select("fingerprint", "component_id")
+    return joined.join(lowest, "root").select("fingerprint", "component_id", "root")
 
 
 def op7(docs: DataFrame) -> DataFrame:

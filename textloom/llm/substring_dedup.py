@@ -8,7 +8,10 @@ window whose words start anywhere else too covers its words in its own document.
 Traffic. A slice of documents folds equal super-k-mers before it sends them (copies cover themselves on the spot), and
 packs what goes to one bucket into one compressed blob. Buckets follow the input's size, so each is a few megabytes.
 A bucket over a multiple of the mean load is hot (a passage in a great many documents): its windows travel singly,
-dealt by the hash of the whole window instead, which spreads them evenly and keeps equal windows together.
+dealt by the hash of the whole window instead, which spreads them evenly and keeps equal windows together. A task sends
+each single window once, however many of its slices hold it (as far as it remembers them: `REMEMBERED`; more are sent
+again, with the same result). Hot buckets are those over `hot` times the mean and over a `HOT_BUCKETS`-th of the whole
+load, so there are never more than `HOT_BUCKETS` of them to broadcast.
 
 Defined results: a null text has no words; texts under `size` words lose nothing. Rows are judged by place, so a
 repeated row is a copy. Null and repeated ids: intervals are matched by id and text, which are equal only where the
@@ -34,6 +37,10 @@ SIZE, RUN = 35, 5
 BUCKET_BYTES = 3 << 20
 #: A bucket is hot from this many times the mean load.
 HOT = 3.0
+#: The most hot buckets there can be: four megabytes of numbers.
+HOT_BUCKETS = 1 << 20
+#: Single windows that a task remembers.
+REMEMBERED = 50_000
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -81,12 +88,13 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, np.int64, 4 * n, 8).reshape(n, 4), raw[8 + 32 * n :]
 
 
-def _send(keyed: DataFrame, size: int, run: int, buckets: int, hot: frozenset[int]) -> DataFrame:
+def _send(keyed: DataFrame, size: int, run: int, buckets: int, hot: np.ndarray) -> DataFrame:
     """bucket, payload (entries for the bucket) or, where payload is null, key_id, key_text, begin, end of covered words."""
+    shared = keyed.sparkSession.sparkContext.broadcast(hot)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.zeros(buckets, bool)
-        marks[list(hot)] = True
+        hot = shared.value  # sorted
+        sent: dict[bytes, list] = {}  # single windows of this task: key_id, key_text, place of the first, whether that is covered
         for batch in batches:
             for part in slices(batch, limit=4 << 20):
                 w = split(part.column("text"))
@@ -94,7 +102,8 @@ def _send(keyed: DataFrame, size: int, run: int, buckets: int, hot: frozenset[in
                 if not len(begin):
                     continue
                 to = bucket_of(low, buckets)
-                singly = marks[to]
+                singly = hot[np.minimum(np.searchsorted(hot, to), len(hot) - 1)] == to if len(hot) else np.zeros(len(to), bool)
+                n_whole = int((~singly).sum())
                 if singly.any():
                     n = (end - begin)[singly]
                     one = np.repeat(begin[singly] - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -111,16 +120,34 @@ def _send(keyed: DataFrame, size: int, run: int, buckets: int, hot: frozenset[in
                     j = seen.setdefault(s, i)
                     if j != i:
                         copies[i] = copies[j] = True
-                send = np.fromiter(seen.values(), np.int64, len(seen))
+                known: list[int] = []
+                late: list[tuple[int, int, int]] = []
+                if n_whole < len(words):
+                    for s, i in seen.items():
+                        if i < n_whole:
+                            continue
+                        first = sent.get(s)
+                        if first is not None:
+                            known.append(i)
+                            copies[i] = True
+                            if not first[3]:
+                                first[3] = True
+                                late.append((first[0], first[1], first[2]))
+                        elif len(sent) < REMEMBERED:
+                            sent[s] = [int(ids[doc[i]]), int(texts[doc[i]]), int(place[i]), bool(copies[i])]
+                send = np.setdiff1d(np.fromiter(seen.values(), np.int64, len(seen)), np.array(known, np.int64))
                 order = send[np.argsort(to[send], kind="stable")]
                 cuts = np.flatnonzero(np.diff(to[order].astype(np.int64))) + 1
                 out_to, blobs = [], []
-                for group in np.split(order, cuts):
+                for group in np.split(order, cuts) if len(order) else ():
                     rows = group.tolist()
                     blobs.append(_pack([(int(ids[doc[i]]), int(texts[doc[i]]), -1 if copies[i] else int(place[i]), words[i]) for i in rows]))
                     out_to.append(int(to[rows[0]]))
                 none = [None] * len(blobs)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((out_to, blobs, none, none, none, none), DEALT.types)], schema=DEALT)
+                if late:
+                    a, b, c = (np.array(x, np.int64) for x in zip(*late))
+                    yield pa.RecordBatch.from_arrays([pa.array((mix(a.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)), pa.nulls(len(a), pa.binary()), pa.array(a), pa.array(b), pa.array(c), pa.array(c + size)], schema=DEALT)
                 some = np.flatnonzero(copies)
                 if len(some):
                     a, b = _merge(doc[some], place[some], (place + (end - begin) + size - 1)[some])
@@ -240,11 +267,11 @@ def covered(keyed: DataFrame, size: int = SIZE, run: int = RUN, hot: float = HOT
     return dealt.mapInArrow(sort, "key_id long, key_text long, begin long, end long")
 
 
-def _heavy(loads: DataFrame, hot: float, buckets: int) -> frozenset[int]:
-    """Buckets over hot times the mean load: at most buckets / hot of them."""
+def _heavy(loads: DataFrame, hot: float, buckets: int, most: int = HOT_BUCKETS) -> np.ndarray:
+    """Buckets over hot times the mean load and a most-th of the whole load, sorted: fewer than most of them."""
     loads = checkpoint(loads)
     total = loads.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    return frozenset(r[0] for r in loads.where(F.col("words") > hot * total / buckets).select("bucket").collect())
+    return np.sort(loads.where(F.col("words") > max(hot * total / buckets, total / most)).select("bucket").toArrow()["bucket"].to_numpy().astype(np.uint64))
 
 
 def remove(docs: DataFrame, size: int = SIZE, run: int = RUN, hot: float = HOT) -> DataFrame:

@@ -2,15 +2,17 @@
 
 Texts are equal when their bytes are, after each run of `[\\x20\\x09-\\x0D]` became one space. Rows are dealt by length and
 content hash; each partition inserts full byte strings into a compressed radix trie whose terminal nodes hold the
-smallest identifier and the number of rows. A trie over its memory limit spills its largest subtree to the task's own
-scratch file and takes it up again, as a trie of its own, once the rest is done.
+smallest identifier and the number of rows. A trie over its memory limit spills the largest subtrees below its first fork,
+to the task's own scratch files, until it is half empty, and takes each up again, as a trie of its own, once the rest is
+done; strings that share a long beginning share a spilled subtree's path, not its memory.
 
 Copies within a batch are folded before the shuffle, so a hot text reaches its partition once per batch rather than
 once per row.
 
 Defined results: null counts as empty text; of equal texts the smallest doc_id stays (null ids after all others; rows
 that share both text and id are one group in which each of them has kept = true only if its id is the smallest, so
-repeated rows of the kept id are all marked kept). Empty tables give empty results.
+repeated rows of the kept id are all marked kept). Very long texts are inserted whole. Empty tables give empty results;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,15 +30,25 @@ from pyspark.sql import functions as F
 from textloom.llm.words import SPACES, flat, slices
 
 TRIE_BYTES = 96 << 20
+#: Reckoned for a node besides its label.
+NODE_BYTES = 200
 #: Stands for a null id among others.
 NO_ID = (1 << 63) - 1
 
 
 class Node:
-    __slots__ = ("label", "children", "value")
+    __slots__ = ("label", "children", "value", "file")
 
     def __init__(self, label: bytes):
-        self.label, self.children, self.value = label, {}, None
+        self.label, self.children, self.value, self.file = label, {}, None, None
+
+    def size(self) -> int:
+        size, left = 0, [self]
+        while left:
+            node = left.pop()
+            size += len(node.label) + NODE_BYTES
+            left.extend(node.children.values())
+        return size
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -55,81 +67,80 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 class Patricia:
-    """A compressed radix trie: string -> (smallest id, rows, payload)."""
+    """A compressed radix trie: string -> (smallest id, rows, payload). held: its own estimate of its bytes."""
 
     def __init__(self, limit: int = TRIE_BYTES):
-        self.root, self.limit, self.held = Node(b""), limit, 0
-        self.spilled: dict[int, tempfile._TemporaryFileWrapper] = {}
+        self.root, self.limit, self.held, self.spills = Node(b""), limit, 0, 0
 
     def insert(self, key: bytes, owner: int, rows: int, payload: object = None) -> None:
-        if key and key[0] in self.spilled:
-            pickle.dump((key, owner, rows, payload), self.spilled[key[0]])
-            return
         node, at = self.root, 0
-        while at < len(key):
+        while at < len(key) and node.file is None:
             child = node.children.get(key[at])
             if child is None:
-                leaf = Node(key[at:])
-                node.children[key[at]] = leaf
-                self.held += len(leaf.label) + 200
-                node, at = leaf, len(key)
-                break
+                child = node.children[key[at]] = Node(key[at:])
+                self.held += len(child.label) + NODE_BYTES
             n = _common(child.label, key[at : at + len(child.label)])
             if n < len(child.label):
                 fork = Node(child.label[:n])
                 fork.children[child.label[n]] = child
                 child.label = child.label[n:]
                 node.children[key[at]] = fork
-                self.held += 200
+                self.held += NODE_BYTES
                 child = fork
             node, at = child, at + n
+        if node.file is not None:
+            pickle.dump((key[at:], owner, rows, payload), node.file)
+            return
         old = node.value
         node.value = (owner, rows, payload) if old is None else (min(owner, old[0]), rows + old[1], payload)
-        if self.held > self.limit and len(self.root.children) > 1:
+        if self.held > self.limit:
             self._spill()
 
-    def _size(self, top: Node) -> int:
-        size, left = 0, [top]
-        while left:
-            node = left.pop()
-            size += len(node.label) + 200
-            left.extend(node.children.values())
-        return size
-
     def _spill(self) -> None:
-        first = max(self.root.children, key=lambda c: self._size(self.root.children[c]))
-        top = self.root.children.pop(first)
-        out = self.spilled[first] = tempfile.TemporaryFile()
-        for key, value in self._walk(top, b""):
-            pickle.dump((key, *value), out)
-        self.held -= self._size(top)
+        fork = self.root
+        while len(live := [c for c in fork.children.values() if c.file is None]) == 1:
+            fork = live[0]
+        sizes = sorted(((c.size(), k) for k, c in fork.children.items() if c.file is None), reverse=True)
+        for size, k in sizes:
+            if self.held <= self.limit // 2:
+                break
+            top = fork.children[k]
+            top.file = tempfile.TemporaryFile()
+            for path, value in self._walk(top):
+                pickle.dump((path[len(top.label) :], *value), top.file)
+            top.children, top.value = {}, None
+            self.held -= size - len(top.label) - NODE_BYTES
+            self.spills += 1
 
     @staticmethod
-    def _walk(top: Node, before: bytes) -> Iterator[tuple[bytes, tuple]]:
-        left = [(top, before)]
+    def _walk(top: Node, spilled: list | None = None) -> Iterator[tuple[bytes, tuple]]:
+        """Terminal strings and values below top; to spilled go (string so far, file) of the subtrees on file."""
+        left = [(top, b"")]
         while left:
             node, path = left.pop()
             path += node.label
+            if node.file is not None and spilled is not None:
+                spilled.append((path, node.file))
             if node.value is not None:
                 yield path, node.value
             left.extend((child, path) for child in node.children.values())
 
-    def items(self, depth: int = 0) -> Iterator[tuple[bytes, tuple]]:
-        """Terminal strings and values; spilled subtrees afterwards, each loaded under a doubled limit."""
-        yield from self._walk(self.root, b"")
-        self.root = Node(b"")
-        for first in list(self.spilled):
-            with self.spilled.pop(first) as src:
-                src.seek(0)
-                # below the first byte the strings share, so that the subtree can spill again by the next one
-                again, prefix = Patricia(self.limit), bytes([first])
+    def items(self) -> Iterator[tuple[bytes, tuple]]:
+        """Terminal strings and values; spilled subtrees afterwards, one at a time under the same limit."""
+        spilled: list = []
+        yield from self._walk(self.root, spilled)
+        self.root, self.held = Node(b""), 0
+        while spilled:
+            prefix, file = spilled.pop()
+            again = Patricia(self.limit)
+            with file:
+                file.seek(0)
                 while True:
                     try:
-                        key, *value = pickle.load(src)
+                        again.insert(*pickle.load(file))
                     except EOFError:
                         break
-                    again.insert(key[1:], *value)
-            for key, value in again.items(depth + 1):
+            for key, value in again.items():
                 yield prefix + key, value
 
 

@@ -8,13 +8,16 @@ Only words that no training text has keep the class of their tail.
 A token's probability is P(class | previous class) * P(word | class), both smoothed by additive counts; the word
 probability has one share for unseen words. A text begins and ends in the class of the end token.
 
-What is gathered: counts of all words of all training texts. Documents are dealt to groups; a group sends each of its
+What is gathered: counts of all words of all training texts. Documents are dealt to groups, whose number follows the
+input's size, so that a task holds one group's texts and words at most; a group sends each of its
 distinct words once with its neighbours' classes, rows sorted by word add the groups' counts, and each group gets back
 the counts and classes of its own words - nothing of the vocabulary's size is ever broadcast. Broadcast and sent to the driver: the `frequent` words and
 a table of at most (frequent + tails + 1) ** 2 counts of type pairs.
 
 Defined results: a null text is empty (one end token). Null ids count as empty text where remainders are taken.
-Without training texts N = 0, V = 0 and every base probability is 0.5 / 0.5 = 1. Further columns are ignored.
+Without training texts N = 0, V = 0 and every base probability is 0.5 / 0.5 = 1. Repeated rows and ids: each row by its
+own text. Words of equal count are taken by their hash, classes of equal gain by their number. Very long texts are
+scored whole. Empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import fresh_dir, id_remainder, shuffle_partitions, text_key
+from textloom.llm.common import estimated_bytes, fresh_dir, id_remainder, shuffle_partitions, text_key
 from textloom.llm.words import Words, distinct_spans, slices, span_hashes, split
 
-FREQUENT, TAILS, CLASSES, SWEEPS = 768, 256, 48, 6
+FREQUENT, TAILS, CLASSES = 768, 256, 48
+#: Of the exchange, which ends sooner where no single move helps.
+SWEEPS = 200
+#: Bytes of documents (as their files hold them) that a group is dealt.
+GROUP_BYTES = 32 << 20
 
 
 @dataclass
@@ -137,7 +144,7 @@ class ClassModel:
 
 def deal(docs: DataFrame) -> DataFrame:
     """Rows with held_out (crc32 mod 5 is 1) and the group that a document belongs to."""
-    groups = 2 * shuffle_partitions(docs.sparkSession)
+    groups = min(1 << 30, max(2 * shuffle_partitions(docs.sparkSession), estimated_bytes(docs, 0) // GROUP_BYTES))
     return text_key(docs).select("doc_id", "text", (id_remainder(F.col("doc_id"), 5) == 1).alias("held_out"), F.pmod(F.xxhash64("key_id", "key_text"), F.lit(groups)).cast("int").alias("g"))
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import checkpoint
 from textloom.llm.words import LOWER, NON_ALNUM, flat, slices
 
 WINDOW = 13
@@ -99,7 +100,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_byte
     (word ranges, united), items, for every row of docs."""
     names = keep or ["doc_id", "text"]
     spark = docs.sparkSession
-    shards = [spark.sparkContext.broadcast((k, hashlib.sha256(repr(sorted(p)).encode()).hexdigest(), p)) for k, p in enumerate(_shards(benchmark, window, shard_bytes))]
     spans = "array<struct<start:int,end:int>>"
 
     def run_with(shard, first: bool):
@@ -134,10 +134,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_byte
 
     out = docs.select(*dict.fromkeys([*names, "text"]))
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    for k, shard in enumerate(shards):
-        if k and "text" not in names:
-            raise ValueError("a benchmark of several shards needs text among the kept columns")
-        out = out.mapInArrow(run_with(shard, k == 0), f"{fields}, n_words long, spans {spans}, words {spans}, items array<string>")
+    before = None
+    for k, p in enumerate(_shards(benchmark, window, shard_bytes)):
+        if before is not None:  # one shard is held at a time: its results are stored before the next is built
+            if "text" not in names:
+                raise ValueError("a benchmark of several shards needs text among the kept columns")
+            out = checkpoint(out)
+            before.destroy()
+        before = spark.sparkContext.broadcast((k, hashlib.sha256(repr(sorted(p)).encode()).hexdigest(), p))
+        out = out.mapInArrow(run_with(before, k == 0), f"{fields}, n_words long, spans {spans}, words {spans}, items array<string>")
     return out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,20 @@ from pyspark.sql import functions as F
 MATH = r"(?s)\$\$.*?\$\$|\$[^$]*\$"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
 CAPITALISED = r"\p{Lu}[\p{L}\p{M}]*"
-ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
+
+
+def _accents() -> dict[str, str]:
+    """Latin letters and what is left of them without their marks, by Unicode's own decomposition; d with a stroke has none."""
+    found = {"đ": "d", "Đ": "D"}
+    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+        whole = unicodedata.normalize("NFD", chr(code))
+        if len(whole) > 1 and whole[0].isascii() and all(unicodedata.combining(c) for c in whole[1:]):
+            found[chr(code)] = whole[0]
+    return found
+
+
+ACCENTS = _accents()
+ACCENTED, PLAIN = "".join(ACCENTS), "".join(ACCENTS.values())
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -34,6 +48,19 @@ def prefix_judgment(response: Column, chars: int = 100) -> Column:
     return F.coalesce(~(F.contains(head, F.lit("no")) | F.contains(head, F.lit("false"))), F.lit(False))
 
 
+# What an answer of either language holds near its start when it denies.
+DENIALS = ("no", "false", "không", "sai")
+
+
+def short_judgment(response: Column, chars: int = 15) -> Column:
+    """As prefix_judgment, for short answers of two languages."""
+    head = F.lower(F.substring(response, 1, chars))
+    denied = F.lit(False)
+    for word in DENIALS:
+        denied = denied | F.contains(head, F.lit(word))
+    return F.coalesce(~denied, F.lit(False))
+
+
 def relation_definitions(text: Column) -> Column:
     """Entries (relation, definition) of lines with a colon; relation `Answer` is left out; of one relation the last stays."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.contains(x, F.lit(":")))
@@ -46,8 +73,24 @@ def triple_question(s: Column, p: Column, o: Column) -> Column:
     return F.concat(F.lit("Is this true: "), F.concat_ws(" ", s, p, o), F.lit("?"))
 
 
+def cells_question(cells: Column) -> Column:
+    """Of three cells a question; two have no question mark in the protocol; of others there is none."""
+    joined = F.concat(F.lit("Is this true: "), F.array_join(cells, " "))
+    return F.when(F.size(cells) == 3, F.concat(joined, F.lit("?"))).when(F.size(cells) == 2, joined)
+
+
+def edge_text(s: Column, p: Column, o: Column, quirk: bool = False) -> Column:
+    """An edge as text: its cells joined by semicolons. quirk: the sign-by-sign form of the protocol's own scores, in which
+    every sign of the list's printed form stands alone."""
+    if not quirk:
+        return F.concat_ws(";", s, p, o)
+    printed = F.concat(F.lit("['"), F.concat_ws("', '", s, p, o), F.lit("']"))
+    return F.array_join(F.split(printed, ""), ";")
+
+
 def strip_accents(text: Column) -> Column:
-    return F.translate(text, ACCENTED, PLAIN)
+    """Latin letters without their marks, whether composed or followed by combining ones."""
+    return F.regexp_replace(F.translate(text, ACCENTED, PLAIN), "[\u0300-\u036f]", "")
 
 
 def sentence_case(text: Column) -> Column:
@@ -61,6 +104,11 @@ def book_id(relative_path: Column) -> Column:
     return F.concat(F.lit("book:"), F.substring(F.sha2(relative_path, 256), 1, 16))
 
 
+def numbered_id(parent: Column, kind: str, number: Column) -> Column:
+    """Ids of what a parent is cut into: chunk_ with six digits, seg_ with five, part_ with three."""
+    return F.concat(parent, F.lit(f"::{kind}_"), F.lpad(number.cast("string"), {"chunk": 6, "seg": 5, "part": 3}[kind], "0"))
+
+
 def part_id(record_id: Column, part: Column, parts: Column) -> Column:
     return F.when(parts == 1, record_id).otherwise(F.concat(record_id, F.lit("::part"), part.cast("string")))
 

@@ -60,38 +60,83 @@ def fenced_list(text: str) -> list:
     return value if isinstance(value, list) else [["none", "none", "none"]]
 
 
-def verdict(text: str) -> tuple[bool | None, str | None, str | None]:
-    """(passed, feedback, error): passed is a real boolean, failure needs feedback, cut-off JSON is told apart."""
+def _json(text: str | None) -> tuple[object, str | None]:
+    """(value, error): `truncated` where the text ends in the middle of a value, else `invalid`."""
     try:
-        value = json.loads(text)
-    except (json.JSONDecodeError, TypeError):
-        return None, None, "truncated" if (text or "").strip().startswith("{") and not (text or "").strip().endswith("}") else "invalid"
-    if not isinstance(value, dict) or not isinstance(value.get("passed"), bool) or not isinstance(value.get("feedback"), (str, type(None))):
-        return None, None, "invalid"
-    feedback = (value["feedback"] or "").strip()
-    if not value["passed"] and not feedback:
-        return None, None, "failed without feedback"
-    return value["passed"], feedback, None
+        return json.loads(text), None
+    except TypeError:
+        return None, "invalid"
+    except (json.JSONDecodeError, RecursionError) as e:
+        cut = isinstance(e, json.JSONDecodeError) and (e.msg.startswith("Unterminated string") or e.pos + 1 >= len(text.rstrip()))
+        return None, "truncated" if cut else "invalid"
 
 
-def candidate(text: str, source: str) -> tuple[dict | None, str | None]:
-    """A candidate edit with exactly its five fields; labels that contradict the text are put right."""
-    body = re.sub(r"^```(?:json)?\s*|\s*```$", "", (text or "").strip())
-    try:
-        value = json.loads(body)
-    except json.JSONDecodeError:
-        return None, "invalid"
-    if not isinstance(value, dict) or set(value) != {"action", "text", "answer", "explanation", "reason"} or value["action"] not in ("keep", "rewrite", "drop"):
+def verdict(text: str | None) -> tuple[bool | None, str | None, str | None]:
+    """(passed, feedback, error): a real boolean and a string, further fields are passed over; failure needs feedback."""
+    value, error = _json(text)
+    if error:
+        return None, None, error
+    if not isinstance(value, dict) or not isinstance(value.get("passed"), bool) or not isinstance(value.get("feedback"), str):
+        return None, None, "invalid"
+    if not value["passed"] and not value["feedback"].strip():
+        return None, None, "failed without feedback"
+    return value["passed"], value["feedback"], None
+
+
+# The lines with which an answer and its explanation stand in a text, and the longest explanation.
+ANSWER, EXPLANATION, LONGEST = "Đáp án:", "Giải thích:", 300
+FIELDS = {"action": str, "text": str, "answer": (str, type(None)), "explanation": (str, type(None)), "reason": str}
+_FENCE = re.compile(r"\s*```(?:json)?\s*(.*?)\s*```\s*", re.S | re.I)
+
+
+def _one_line(text: object) -> bool:
+    return isinstance(text, str) and text != "" and text == text.strip() and not {"\n", "\r"} & set(text)
+
+
+def with_answer(text: str, answer: str, explanation: str) -> tuple[str | None, str | None]:
+    """(text that ends in the answer's two lines, error). Answer lines that are there already are put in their form;
+    blocks of earlier questions stay."""
+    lines, block = text.rstrip().splitlines(), [f"{ANSWER} {answer}", f"{EXPLANATION} {explanation}"]
+    if lines and lines[-1].startswith(EXPLANATION):
+        lines = lines[:-1]
+    if lines and lines[-1].startswith(ANSWER):
+        if lines[-1][len(ANSWER) :].strip().rstrip(".") != answer:
+            return None, "conflicting answer"
+        lines = lines[:-1]
+    while lines[-2:] == block:
+        lines = lines[:-2]
+    body = "\n".join(lines).rstrip()
+    return ("\n".join([body, *block]), None) if body else (None, "answer without question")
+
+
+def candidate(text: str | None, source: str) -> tuple[dict | None, str | None]:
+    """(candidate edit, error): exactly its five fields, of the right kinds; labels that contradict the text are put right."""
+    fenced = _FENCE.fullmatch(text or "")
+    value, error = _json(fenced[1] if fenced else (text or "").strip())
+    if error:
+        return None, error
+    if not isinstance(value, dict) or value.keys() != FIELDS.keys():
+        return None, "fields"
+    if not all(isinstance(value[f], kind) for f, kind in FIELDS.items()) or value["action"] not in ("keep", "rewrite", "drop") or not value["reason"].strip():
         return None, "fields"
-    new, answer, why = (value["text"] or "").strip(), value["answer"], value["explanation"]
-    if value["action"] == "drop":
-        return (value, None) if not new and not answer else (None, "drop with content")
-    if answer and (not why or "\n" in why or len(why) > 300):
+    new, answer, why = value["text"], value["answer"], value["explanation"]
+    if answer is not None and not _one_line(answer):
+        return None, "answer"
+    if (answer is None and why is not None) or (answer is not None and (not _one_line(why) or len(why) > LONGEST)):
         return None, "explanation"
-    if value["action"] == "rewrite" and not new:
+    changed = new != source or answer is not None
+    action = "rewrite" if value["action"] == "keep" and changed else value["action"]
+    if action == "drop":
+        return (value, None) if new == "" and answer is None else (None, "drop with content")
+    if action == "rewrite" and not new.strip():
         return None, "empty rewrite"
-    action = "rewrite" if answer or (new and new != source.strip()) else "keep"
-    return {**value, "action": action, "text": new or source, "answer": answer if action == "rewrite" else None}, None
+    if answer is not None:
+        new, error = with_answer(new, answer, why)
+        if error:
+            return None, error
+    if new == source:  # also after the answer took its form
+        action, answer, why = "keep", None, None
+    return {**value, "action": action, "text": new, "answer": answer, "explanation": why}, None
 
 
 def rule_is_safe(rule: str, accepted_has_answer: bool = False) -> bool:
@@ -123,23 +168,45 @@ def rules(text: str, allowed: set[str], accepted_has_answer: bool = False) -> tu
     return list(out.values()), None
 
 
-def budgeted(rules: list[tuple[str, str]], budget: int = 4000) -> list[tuple[str, str]]:
-    """Newest first, those that don't fit are passed over; the original order is kept."""
+def budgeted_places(rules: list[tuple[str, str]], budget: int = 4000) -> list[int]:
+    """Newest first, those that don't fit are passed over; places in the original order."""
     left, keep = budget, []
     for i in range(len(rules) - 1, -1, -1):
         cost = len(rules[i][0]) + len(rules[i][1]) + 32
         if cost <= left:
             keep.append(i)
             left -= cost
-    return [rules[i] for i in sorted(keep)]
+    return keep[::-1]
+
+
+def budgeted(rules: list[tuple[str, str]], budget: int = 4000) -> list[tuple[str, str]]:
+    return [rules[i] for i in budgeted_places(rules, budget)]
+
+
+# What a correction must leave as it is, in what range its length and from where its likeness may lie.
+WORDS, NUMBERS = re.compile(r"\b[^\W\d_]+\b"), re.compile(r"\d+(?:[.,]\d+)*")
+INVARIANTS = {
+    "formulas": MATH.findall,
+    "numbers": NUMBERS.findall,
+    "names": lambda text: [w for w in WORDS.findall(text) if w[0].isupper()],
+}
+LENGTHS, LIKENESS = (0.6, 1.4), 0.8
+
+
+def broken_invariants(old: str, new: str) -> list[str]:
+    """What a correction breaks, by name; one that breaks nothing is safe. Likeness is only measured where all else holds."""
+    if not old or not new:
+        return ["empty"]
+    broken = [name for name, of in INVARIANTS.items() if of(old) != of(new)]
+    if not LENGTHS[0] <= len(new) / len(old) <= LENGTHS[1]:
+        broken.append("length")
+    if not broken and difflib.SequenceMatcher(None, old, new).ratio() < LIKENESS:
+        broken.append("likeness")
+    return broken
 
 
 def correction_is_safe(old: str, new: str) -> bool:
-    if not old or not new or not 0.6 <= len(new) / len(old) <= 1.4:
-        return False
-    words = lambda t: [w for w in re.findall(r"\b[^\W\d_]+\b", t) if w[0].isupper()]
-    same = all(f(old) == f(new) for f in (MATH.findall, re.compile(r"\d+(?:[.,]\d+)*").findall, words))
-    return same and difflib.SequenceMatcher(None, old, new).ratio() >= 0.8
+    return not broken_invariants(old, new)
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in "spo"])))
@@ -154,13 +221,51 @@ def verdict_udf(texts: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(T.BooleanType())
 def safe_udf(old: pd.Series, new: pd.Series) -> pd.Series:
-    return pd.Series([correction_is_safe(a, b) for a, b in zip(old, new)])
+    return pd.Series([correction_is_safe(a or "", b or "") for a, b in zip(old, new)])
+
+
+_TRIPLES = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in "spo"]))
+
+
+@F.pandas_udf(T.StructType([T.StructField("entities", T.ArrayType(T.StringType())), T.StructField("error", T.StringType())]))
+def entities_udf(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([entities(t) for t in texts], columns=["entities", "error"])
+
+
+@F.pandas_udf(_TRIPLES)
+def graph_line_udf(texts: pd.Series) -> pd.Series:
+    """Predicted graphs, a line each: triples of three cells (others left out), the fallback where a line can't be read."""
+    return pd.Series([[dict(zip("spo", t)) for t in graph_line(x) if len(t) == 3] for x in texts])
+
+
+@F.pandas_udf(T.StructType([T.StructField("triples", _TRIPLES), T.StructField("error", T.StringType())]))
+def gold_line_udf(texts: pd.Series) -> pd.DataFrame:
+    """Gold graphs: a line that is no list of triples of three cells is an error."""
+    found = [_literal(x or "") for x in texts]
+    good = [isinstance(v, list) and all(isinstance(t, (list, tuple)) and len(t) == 3 for t in v) for v in found]
+    return pd.DataFrame({"triples": [[dict(zip("spo", map(str, t))) for t in v] if ok else None for v, ok in zip(found, good)], "error": [None if ok else "no graph" for ok in good]})
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def list_udf(texts: pd.Series) -> pd.Series:
+    """Lists of lists in fenced or plain answers, cells as text; the fallback [none, none, none]."""
+    return pd.Series([[[str(c) for c in t] if isinstance(t, (list, tuple)) else [str(t)] for t in fenced_list(x)] for x in texts])
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def budgeted_udf(categories: pd.Series, rules: pd.Series, budget: pd.Series) -> pd.Series:
+    """Places (from 0) of the rules of a list that a prompt has room for."""
+    out = []
+    for cs, rs, n in zip(categories, rules, budget):
+        marked = [(c, r) for c, r in zip(cs, rs)]
+        out.append(budgeted_places(marked, int(n)))
+    return pd.Series(out)
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in ("action", "text", "answer", "error")]))
 def candidate_udf(texts: pd.Series, sources: pd.Series) -> pd.DataFrame:
     found = [candidate(t, s or "") for t, s in zip(texts, sources)]
-    return pd.DataFrame([(c["action"], c["text"] or "", c["answer"], None) if c else (None, None, None, e) for c, e in found], columns=["action", "text", "answer", "error"])
+    return pd.DataFrame([(c["action"], c["text"], c["answer"], None) if c else (None, None, None, e) for c, e in found], columns=["action", "text", "answer", "error"])
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("category", "rule", "evidence")])))

@@ -123,7 +123,10 @@ def judge_binary_metrics(t):
     return rows.agg(*review.binary_metrics(F.col("quality") == 1, native.prefix_judgment(F.col("text"))))
 
 
-@query(f"SELECT doc_id, translate(text, '{native.ACCENTED}', '{native.PLAIN}') AS text FROM documents")
+BARE = "replace(replace(strip_accents(text), 'đ', 'd'), 'Đ', 'D')"
+
+
+@query(f"SELECT doc_id, {BARE} AS text FROM documents")
 def strip_accents_full(t):
     return t("documents").select("doc_id", native.strip_accents(F.col("text")).alias("text"))
 
@@ -162,7 +165,7 @@ def split_segments(t):
 
 @query()
 def pack_segments(t):
-    return t("documents").select("doc_id", "text").mapInPandas(segment.pack_books, "doc_id long, part int, text string, raw_text string, start_line int, end_line int")
+    return t("documents").select("doc_id", "text").mapInArrow(segment.pack_books, segment.PACKED)
 
 
 @query()
@@ -465,7 +468,7 @@ def downsampled_documents(t):
     return lexnorm.downsampled(t("documents"), "doc_id", 100, seed=7).select("doc_id", "lang")
 
 
-@query(f"SELECT doc_id, translate(text, '{native.ACCENTED}', '{native.PLAIN}') AS text, true AS augmented FROM documents UNION ALL SELECT doc_id, text, false FROM documents")
+@query(f"SELECT doc_id, {BARE} AS text, true AS augmented FROM documents UNION ALL SELECT doc_id, text, false FROM documents")
 def unaccented_augmentation(t):
     return lexnorm.with_unaccented(t("documents").select("doc_id", "text"), "text")
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Triple = tuple[str, str, str]
 
@@ -110,11 +112,67 @@ def isomorphic(gold: list[Triple], pred: list[Triple]) -> bool:
     return extend(0, {})
 
 
-def edit_distance_bound(gold: list[Triple], pred: list[Triple]) -> float:
-    """Normalised edit distance of edge sets under equal node names; the prediction is cut to the gold's length."""
-    pred = pred[: len(gold)]
-    size = len(gold) + len({n for s, _, o in gold for n in (s, o)}) + 30
-    return len(set(gold) ^ set(pred)) / size
+Edges = dict[tuple[str, str], str]
+#: Graphs of up to this many nodes get their exact edit distance; larger ones the distance under equal names.
+EXACT_NODES = 7
+
+
+def _edges(rows: list[Triple]) -> Edges:
+    cell = lambda c: str(c).lower().strip()
+    return {(cell(s), cell(o)): cell(p) for s, p, o in rows}
+
+
+def _edge_cost(a: str | None, b: str | None) -> int:
+    return int(a != b)
+
+
+def named_distance(a: Edges, b: Edges) -> int:
+    """Edits that turn a into b where nodes keep their names: unlike nodes are renamed, made or deleted with all their edges."""
+    na, nb = {n for e in a for n in e}, {n for e in b for n in e}
+    return max(len(na - nb), len(nb - na)) + sum(_edge_cost(a.get(e), b.get(e)) for e in a.keys() | b.keys())
+
+
+def edit_distance(gold: list[Triple], pred: list[Triple]) -> tuple[int, bool]:
+    """(edits of nodes and edges, 1 each, that turn gold into pred; whether that is the least number).
+
+    Every way to map gold's nodes to pred's or to none is tried, cheapest first node by node, as long as it may beat the
+    best one found; nodes match by name, edges by label.
+    """
+    a, b = _edges(gold), _edges(pred)
+    na, nb = sorted({n for e in a for n in e}), sorted({n for e in b for n in e})
+    best = named_distance(a, b)
+    if max(len(na), len(nb)) > EXACT_NODES:
+        return best, False
+
+    def extend(k: int, to: list[str | None], cost: int) -> None:
+        nonlocal best
+        if cost + max(0, (len(nb) - sum(t is not None for t in to)) - (len(na) - k)) >= best:
+            return
+        if k == len(na):
+            used = set(to)
+            new = [n for n in nb if n not in used]
+            best = min(best, cost + len(new) + sum(s in new or o in new for s, o in b))
+            return
+        n = na[k]
+        for target in sorted((t for t in nb if t not in to), key=lambda t: t != n) + [None]:
+            more = 1 if target is None else _edge_cost(n, target)
+            for other, place in [*zip(na[:k], to), (n, target)]:
+                ways = [(n, other), (other, n)] if other != n else [(n, n)]
+                for s, o in ways:
+                    s2, o2 = (target if x == n else place for x in (s, o))
+                    more += _edge_cost(a.get((s, o)), b.get((s2, o2)) if s2 is not None and o2 is not None else None)
+            extend(k + 1, [*to, target], cost + more)
+
+    extend(0, [], 0)
+    return best, True
+
+
+def normalised_edit_distance(gold: list[Triple], pred: list[Triple]) -> tuple[float, bool]:
+    """Edits over the gold's nodes and edges and 30 more, the prediction cut to the gold's length; and whether they are the least."""
+    edges = _edges(gold)
+    size = len(edges) + len({n for e in edges for n in e}) + 30
+    edits, exact = edit_distance(gold, pred[: len(gold)])
+    return edits / size, exact
 
 
 def graph_scores(graphs: DataFrame) -> DataFrame:
@@ -124,31 +182,129 @@ def graph_scores(graphs: DataFrame) -> DataFrame:
         rows = rows.sort_values("pos")
         gold, pred = ([tuple(t) for t in rows.loc[rows["side"] == x, ["s", "p", "o"]].itertuples(index=False)] for x in ("gold", "pred"))
         b, r = matched(gold, pred, bleu), matched(gold, pred, rouge2_precision)
-        return pd.DataFrame([(key[0], *b, *r, isomorphic(gold, pred), edit_distance_bound(gold, pred))], columns=["graph_id", "bleu_p", "bleu_r", "bleu_f1", "rouge_p", "rouge_r", "rouge_f1", "isomorphic", "edit_distance"])
+        return pd.DataFrame([(key[0], *b, *r, isomorphic(gold, pred), *normalised_edit_distance(gold, pred))], columns=["graph_id", "bleu_p", "bleu_r", "bleu_f1", "rouge_p", "rouge_r", "rouge_f1", "isomorphic", "edit_distance", "least"])
+
+    return graphs.groupBy("graph_id").applyInPandas(score, "graph_id long, bleu_p double, bleu_r double, bleu_f1 double, rouge_p double, rouge_r double, rouge_f1 double, isomorphic boolean, edit_distance double, least boolean")
+
+
+SLOTS = {"s": "SUB", "p": "PRED", "o": "OBJ"}
+SCHEMES = ("ent_type", "partial", "strict", "exact")
+KINDS = ("correct", "incorrect", "partial", "missed", "spurious")
+#: What becomes of a slot: nothing on either side, nothing in common, only gold's, only pred's, the same words, some in
+#: common, and these two where the words stand in another slot of the prediction.
+NOTHING, APART, GOLD, PRED, SAME, SHARED, SAME_ELSEWHERE, SHARED_ELSEWHERE = range(8)
+# For each outcome with words in common, what each scheme counts it as.
+COUNTED = {
+    SAME: ("correct", "correct", "correct", "correct"),
+    SHARED: ("correct", "partial", "incorrect", "incorrect"),
+    SAME_ELSEWHERE: ("incorrect", "correct", "incorrect", "correct"),
+    SHARED_ELSEWHERE: ("incorrect", "partial", "incorrect", "incorrect"),
+}
+
+
+def _counts() -> np.ndarray:
+    """[outcome, scheme, kind]: counts of a slot."""
+    out = np.zeros((8, len(SCHEMES), len(KINDS)), np.int64)
+    for outcome, names in COUNTED.items():
+        for scheme, name in enumerate(names):
+            out[outcome, scheme, KINDS.index(name)] = 1
+    out[[APART, GOLD], :, KINDS.index("missed")] = 1
+    out[[APART, PRED], :, KINDS.index("spurious")] = 1
+    return out
+
+
+COUNTS = _counts()
+#: In these schemes a partial match counts half.
+HALVES = np.array([0.5, 0.5, 0.0, 0.0])
+
+
+def prf(counts: np.ndarray) -> np.ndarray:
+    """[..., scheme, kind] -> [..., scheme, (precision, recall, F1)]; 0 where undefined."""
+    cor, inc, par, mis, spu = (counts[..., k].astype(float) for k in range(5))
+    right = cor + HALVES * par
+    div = lambda x, y: np.divide(x, y, out=np.zeros_like(x), where=y > 0)
+    p, r = div(right, cor + inc + par + spu), div(right, cor + inc + par + mis)
+    return np.stack([p, r, div(2 * p * r, p + r)], axis=-1)
+
+
+_TRIPLES = np.stack(np.unravel_index(np.arange(512), (8, 8, 8)), axis=1)
+#: Of each three outcomes: scores of the three slots together.
+SCORES = prf(COUNTS[_TRIPLES].sum(axis=1))
+
+
+def slot_words(text: str) -> tuple[str, ...]:
+    """Words in lower case, without signs."""
+    return tuple(w for w in (re.sub(r"[^\w]+", "", x) for x in text.lower().split()) if w)
+
+
+def _compared(gold: list[tuple[str, ...]], pred: list[tuple[str, ...]]) -> np.ndarray:
+    """Outcome of every pair, each two different texts compared once."""
+    g, p = list(dict.fromkeys(gold)), list(dict.fromkeys(pred))
+    sets = [frozenset(x) for x in p]
+    table = np.array([[SAME if x == y and x else SHARED if s & set(x) else NOTHING if not x and not y else APART if x and y else GOLD if x else PRED for y, s in zip(p, sets)] for x in g], np.int64).reshape(len(g), len(p))
+    places = ({x: i for i, x in enumerate(g)}, {x: i for i, x in enumerate(p)})
+    return table[np.array([places[0][x] for x in gold])[:, None], np.array([places[1][x] for x in pred])[None]]
+
+
+def slot_outcomes(gold: list[Triple], pred: list[Triple]) -> np.ndarray:
+    """[gold, pred, slot]: outcomes of all pairs. Where two slots have nothing in common each, their words are looked for
+    in the other one: subject and object, subject and predicate, predicate and object, the first that has some."""
+    g = [[slot_words(t[k]) for t in gold] for k in range(3)]
+    p = [[slot_words(t[k]) for t in pred] for k in range(3)]
+    out = np.stack([_compared(g[k], p[k]) for k in range(3)], axis=-1)
+    for i, j in ((0, 2), (0, 1), (1, 2)):
+        apart = (out[..., i] == APART) & (out[..., j] == APART)
+        if apart.any():
+            x, y = _compared(g[i], p[j]), _compared(g[j], p[i])
+            swapped = apart & ((x == SAME) | (x == SHARED) | (y == SAME) | (y == SHARED))
+            for k, z in ((i, x), (j, y)):
+                elsewhere = np.where(z == SAME, SAME_ELSEWHERE, np.where(z == SHARED, SHARED_ELSEWHERE, APART))
+                out[..., k] = np.where(swapped, elsewhere, out[..., k])
+    return out
+
+
+def slot_table(gold: list[Triple], pred: list[Triple]) -> list[tuple]:
+    """(scheme, tag, counts, means of precision, recall and F1 over aligned pairs) of one graph.
+
+    The shorter side is filled up with empty triples; pairs are aligned one to one by the largest sum of the mean F1 of
+    the four schemes.
+    """
+    size = max(len(gold), len(pred))
+    if not size:
+        return []
+    out = slot_outcomes(gold + [("", "", "")] * (size - len(gold)), pred + [("", "", "")] * (size - len(pred)))
+    code = out @ np.array([64, 8, 1])
+    pairs = assignment(SCORES[:, :, 2].mean(axis=1)[code])
+    found = out[[i for i, _ in pairs], [j for _, j in pairs]]  # pair, slot
+    rows = []
+    for tag, slots in (("ALL", [0, 1, 2]), *((name, [k]) for k, name in enumerate(SLOTS.values()))):
+        counts = COUNTS[found[:, slots]].sum(axis=1)  # pair, scheme, kind
+        means = prf(counts).mean(axis=0)
+        rows += [(scheme, tag, *counts[:, k].sum(axis=0).tolist(), *means[k].tolist()) for k, scheme in enumerate(SCHEMES)]
+    return rows
+
+
+SLOT_SCHEMA = "graph_id long, scheme string, tag string, correct long, incorrect long, partial long, missed long, spurious long, precision double, recall double, f1 double"
 
-    return graphs.groupBy("graph_id").applyInPandas(score, "graph_id long, bleu_p double, bleu_r double, bleu_f1 double, rouge_p double, rouge_r double, rouge_f1 double, isomorphic boolean, edit_distance double")
 
+def slot_scores(graphs: DataFrame) -> DataFrame:
+    """graphs (graph_id, side, pos, s, p, o) -> 16 rows a graph: four schemes for all slots, SUB, PRED and OBJ."""
 
-SLOTS = ("s", "p", "o")
+    def score(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos").fillna("")
+        gold, pred = ([tuple(t) for t in rows.loc[rows["side"] == x, list(SLOTS)].itertuples(index=False)] for x in ("gold", "pred"))
+        return pd.DataFrame([(key[0], *r) for r in slot_table(gold, pred)], columns=[c.split()[0] for c in SLOT_SCHEMA.split(", ")])
 
+    return graphs.groupBy("graph_id").applyInPandas(score, SLOT_SCHEMA)
 
-def slot_counts(gold: Triple, pred: Triple) -> dict[str, list[int]]:
-    """Correct slots under three readings: exact (equal text), partial (a shared word), type (both filled)."""
-    words = [(set(g.lower().split()), set(p.lower().split())) for g, p in zip(gold, pred)]
-    return {"exact": [int(bool(g) and g == p) for g, p in words], "partial": [int(bool(g & p)) for g, p in words], "type": [int(bool(g) and bool(p)) for g, p in words]}
 
+def slot_summary(scores: DataFrame) -> DataFrame:
+    """Per scheme and tag: sums of the counts, means of the graphs' scores."""
+    return scores.groupBy("scheme", "tag").agg(*(F.sum(k).alias(k) for k in KINDS), *(F.avg(c).alias(c) for c in ("precision", "recall", "f1")))
 
-def slot_scores(graphs: DataFrame) -> DataFrame:
-    """Per graph: best one-to-one alignment of triples by mean of the readings, then correct, possible and actual slots."""
 
-    def score(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        gold, pred = ([tuple(t) for t in rows.loc[rows["side"] == x, list(SLOTS)].itertuples(index=False)] for x in ("gold", "pred"))
-        size = max(len(gold), len(pred))
-        g, p = gold + [("",) * 3] * (size - len(gold)), pred + [("",) * 3] * (size - len(pred))
-        counts = [[slot_counts(a, b) for b in p] for a in g]
-        pairs = assignment(np.array([[sum(map(sum, c.values())) / 9 for c in line] for line in counts]))
-        out = [(key[0], name, sum(sum(counts[i][j][name]) for i, j in pairs), 3 * len(gold), 3 * len(pred)) for name in ("exact", "partial", "type")]
-        return pd.DataFrame(out, columns=["graph_id", "scheme", "correct", "possible", "actual"])
-
-    return graphs.groupBy("graph_id").applyInPandas(score, "graph_id long, scheme string, correct long, possible long, actual long")
+def comparable(graphs: DataFrame, most: int | None = None) -> DataFrame:
+    """Graphs that have both sides; most: no more difference than this between their numbers of triples."""
+    n = lambda side: F.count(F.when(F.col("side") == side, 1))
+    sizes = graphs.groupBy("graph_id").agg(n("gold").alias("g"), n("pred").alias("p")).where("g > 0 and p > 0")
+    return graphs.join(sizes if most is None else sizes.where(F.abs(F.col("g") - F.col("p")) <= most), "graph_id", "left_semi")

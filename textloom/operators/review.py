@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.numbering import numbered
+
 
 def accepted(verdicts: DataFrame) -> DataFrame:
     """Per record: accepted if every check passed, and the failed checks in order."""
@@ -23,6 +25,52 @@ def illegal_replacements(saved: DataFrame) -> DataFrame:
     return saved.withColumn("before", before).where("before is not null and before <> 'model_failed'").drop("before")
 
 
+STATUSES = ("accepted", "dropped", "review_rejected", "model_failed")
+
+
+def checkpoint_errors(saved: DataFrame) -> DataFrame:
+    """source_path, index, ord, reason of saved rows (with source_sha256, start, end, status, text) that can't stand.
+
+    A status that isn't known, a missing field, or a row after another of its chunk, unless that failed and both agree on
+    the source and the offsets.
+    """
+    w = Window.partitionBy("source_path", "index").orderBy("ord")
+    same = F.lit(True)
+    for c in ("source_sha256", "start", "end"):
+        same = same & F.col(c).eqNullSafe(F.lag(c).over(w))
+    before = F.lag("status").over(w)
+    missing = F.lit(False)
+    for c in ("source_path", "source_sha256", "index", "start", "end", "text"):
+        missing = missing | F.col(c).isNull()
+    reason = F.when(missing, "field missing").when(~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)), "status").when(before != "model_failed", "saved before").when(before.isNotNull() & ~same, "another source or offsets")
+    return saved.select("source_path", "index", "ord", reason.alias("reason")).where("reason is not null")
+
+
+def foreign_checkpoints(chunks: DataFrame, saved: DataFrame) -> DataFrame:
+    """source_path, index, reason of saved chunks whose book is gone, that aren't chunks of it, or whose digest or offsets differ.
+
+    chunks: source_path, index, source_sha256, start, end as they are now.
+    """
+    last = saved.groupBy("source_path", "index").agg(F.max_by(F.struct("source_sha256", "start", "end"), "ord").alias("last"))
+    books = chunks.select("source_path").distinct().withColumn("there", F.lit(True))
+    both = last.join(chunks.select("source_path", "index", F.struct("source_sha256", "start", "end").alias("now")), ["source_path", "index"], "left").join(books, "source_path", "left")
+    reason = F.when(F.col("there").isNull(), "no such book").when(F.col("now").isNull(), "no such chunk").when(F.col("now") != F.col("last"), "changed")
+    return both.select("source_path", "index", reason.alias("reason")).where("reason is not null")
+
+
+def budgeted(pending_chunks: DataFrame, most: int) -> DataFrame:
+    """The first `most` pending chunks by path and index (0: all): a run's budget."""
+    return pending_chunks if not most else pending_chunks.orderBy("source_path", "index").limit(most)
+
+
+def run_summary(chunks: DataFrame, saved: DataFrame) -> DataFrame:
+    """One row: books, chunks, processed chunks (saved with any status), completed books, chunks by last status."""
+    done = latest_checkpoint(saved)
+    both = chunks.select("source_path", "index").join(done, ["source_path", "index"], "left")
+    per = both.groupBy("source_path").agg(F.count("*").alias("n"), F.count("status").alias("done"), *(F.count(F.when(F.col("status") == s, 1)).alias(s) for s in STATUSES))
+    return per.agg(F.count("*").alias("books"), F.sum("n").alias("chunks"), F.sum("done").alias("processed"), F.count(F.when(F.col("n") == F.col("done"), 1)).alias("completed"), *(F.sum(s).alias(s) for s in STATUSES))
+
+
 def pending(chunks: DataFrame, saved: DataFrame, retry_failed: bool = False) -> DataFrame:
     """Chunks without a saved result (failed ones again on demand)."""
     done = latest_checkpoint(saved)
@@ -63,8 +111,8 @@ def run_labels(rows: DataFrame, by: str, order: str, value: str) -> DataFrame:
 
 def length_buckets(rows: DataFrame, id_col: str, length: Column, size: int) -> DataFrame:
     """Batches of rows of equal length, in order of id."""
-    n = F.row_number().over(Window.partitionBy("sent_len").orderBy(id_col))
-    return rows.select(id_col, length.alias("sent_len")).withColumn("batch", F.floor((n - 1) / size).cast("long"))
+    placed = numbered(rows.select(id_col, length.alias("sent_len")), id_col, "sent_len")
+    return placed.select(id_col, "sent_len", F.floor(F.col("number") / size).cast("long").alias("batch"))
 
 
 def multiset_difference(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.native import CAPITALISED, spans
+from textloom.functions.native import CAPITALISED, spans, triple_question
 
 KEY = ("graph_id", "s", "p", "o")
 
@@ -95,40 +95,71 @@ def split_known(triples: DataFrame, schema: DataFrame) -> tuple[DataFrame, DataF
     return triples.join(keys, "p", "left_semi"), triples.join(keys, "p", "left_anti")
 
 
-QUERY_BLOCK = 20_000
+#: Queries of a block, and vectors of a tile.
+QUERY_BLOCK, TILE = 2048, 8192
+NEAR = "query_id long, vec_id long, score double"
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The k vectors of largest inner product for each query (query_id, embedding), ties by id.
 
-    Queries go out in blocks of at most QUERY_BLOCK; each partition of the vectors keeps its own k best per query, so the
-    shuffle holds partitions * k rows per query rather than all pairs.
+    Queries are packed into blocks, vectors where they lie into tiles; blocks go to every group of tiles, so a task
+    multiplies one block with one tile at a time and keeps k vectors for each query and block it has open. Neither side
+    passes through the driver, and no pair is made a row that isn't among a task's k best.
     """
-    got = queries.select("query_id", "embedding").orderBy("query_id").toLocalIterator(prefetchPartitions=True)
-    found = None
-    while block := list(itertools.islice(got, QUERY_BLOCK)):
-        part = _best_of_partitions(vectors, [r["query_id"] for r in block], np.array([r["embedding"] for r in block], float), k)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return queries.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    spark = queries.sparkSession
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    some = queries.where("embedding is not null").select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    blocks = max(1, -(-some.count() // QUERY_BLOCK))
+    packed = some.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("query_id", "embedding")).alias("q"))  # about QUERY_BLOCK each
+    sent = packed.select("block", F.transform("q", lambda x: x["query_id"]).alias("names"), F.flatten(F.transform("q", lambda x: x["embedding"])).alias("wanted"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            for i in range(0, batch.num_rows, TILE):
+                part, turn = batch.slice(i, TILE), turn + 1
+                column = part.column("embedding")
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part.column("vec_id"), column.flatten())]
+                yield pa.RecordBatch.from_arrays([pa.array([turn % groups], pa.int32()), *lists], ["group", "ids", "held"])
+
+    cut_up = vectors.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(tiles, "group int, ids array<long>, held array<double>")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_blocks: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+        def out(block: int) -> pa.RecordBatch:
+            names, score, ids = open_blocks.pop(block)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(names, score.shape[1])), pa.array(ids.ravel()), pa.array(score.ravel())], ["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, (names, wanted, ids, held) = batch.column("block")[i].as_py(), (batch.column(c)[i].values.to_numpy() for c in ("names", "wanted", "ids", "held"))
+                score = np.round(wanted.reshape(len(names), -1) @ held.reshape(len(ids), -1).T, 6)
+                ids = np.broadcast_to(ids, score.shape)
+                if block in open_blocks:
+                    _, before, their = open_blocks[block]
+                    score, ids = np.concatenate([before, score], axis=1), np.concatenate([their, ids], axis=1)
+                order = np.lexsort((ids, -score), axis=1)[:, :k]
+                open_blocks[block] = (names, np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1))
+                if len(open_blocks) > 64:
+                    yield out(next(iter(open_blocks)))
+        for block in list(open_blocks):
+            yield out(block)
+
+    found = sent.join(cut_up, "group").select("block", "names", "wanted", "ids", "held").mapInArrow(best, NEAR)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _best_of_partitions(vectors: DataFrame, ids: list[int], q: np.ndarray, k: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast((np.array(ids, np.int64), q))
+def labelled_questions(triples: DataFrame) -> DataFrame:
+    """instruction, output, label for each triple (graph_id, pos, s, p, o): itself, true, and with another tail of its graph, false."""
+    both = negative_tails(triples)
+    yes = both.select("graph_id", "pos", triple_question(F.col("s"), F.col("p"), F.col("o")).alias("instruction"), F.lit("Yes, this is true.").alias("output"), F.lit(True).alias("label"))
+    no = both.where("negative_tail is not null").select("graph_id", "pos", triple_question(F.col("s"), F.col("p"), F.col("negative_tail")).alias("instruction"), F.lit("No, this is not true.").alias("output"), F.lit(False).alias("label"))
+    return yes.unionByName(no)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, wanted = shared.value
-        best = np.zeros((len(names), 0))
-        best_ids = np.zeros((len(names), 0), np.int64)
-        for batch in batches:
-            column = batch.column("embedding")
-            v = column.flatten().to_numpy().astype(float).reshape(len(column), -1)
-            best = np.concatenate([best, np.round(wanted @ v.T, 6)], axis=1)
-            best_ids = np.concatenate([best_ids, np.broadcast_to(batch.column("vec_id").to_numpy(), (len(names), len(column)))], axis=1)
-            order = np.lexsort((best_ids, -best), axis=1)[:, :k]
-            best, best_ids = np.take_along_axis(best, order, 1), np.take_along_axis(best_ids, order, 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, best.shape[1])), pa.array(best_ids.ravel()), pa.array(best.ravel())], ["query_id", "vec_id", "score"])
-
-    return vectors.where("embedding is not null").select("vec_id", "embedding").mapInArrow(run, "query_id long, vec_id long, score double")
+
+def found_or_missing(words: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """words (word) joined with the dictionary (word, ...), and the distinct words that it lacks, for a model to answer."""
+    return words.join(dictionary, "word"), words.select("word").distinct().join(dictionary, "word", "left_anti")

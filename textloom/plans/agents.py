@@ -28,13 +28,6 @@ RESULT = ["record_id", "status", "action", "text", "attempts", "error"]
 FAILED = "array<struct<check:string,feedback:string>>"
 
 
-def _asked(rows: DataFrame, task: str, backend: Backend, *fields: Column) -> DataFrame:
-    """rows with response and error; equal prompts are called once."""
-    keyed = model_stage.with_prompt_id(rows.withColumn("prompt", F.to_json(F.struct(F.lit(task).alias("task"), *fields))), task)
-    answers = cut(model_stage.call(keyed.select("prompt_id", "prompt").distinct(), backend))
-    return keyed.join(answers.select("prompt_id", "response", "error"), "prompt_id").drop("prompt_id", "prompt")
-
-
 def lost_formulas(source: Column, text: Column) -> Column:
     """Formulas that the source holds more often than the text, each once, in order."""
     old, new = spans(source, MATH), spans(text, MATH)
@@ -45,7 +38,7 @@ def lost_formulas(source: Column, text: Column) -> Column:
 def _reviewed(made: DataFrame, review: Backend) -> DataFrame:
     """record_id, failed (checks that failed with feedback, by name), review_error."""
     each = made.select("record_id", "source", "c").withColumn("check", F.explode(F.array(*[F.lit(c) for c in parsing.CHECKS])))
-    asked = _asked(each, "review", review, F.col("check"), F.col("source"), F.col("c.action").alias("action"), F.col("c.text").alias("text"))
+    asked = model_stage.asked(each, "review", review, F.col("check"), F.col("source"), F.col("c.action").alias("action"), F.col("c.text").alias("text"))
     read = asked.withColumn("v", parsing.verdict_udf("response"))
     wrong = F.coalesce("error", "v.error")
     seen = read.select("record_id", "check", F.col("v.passed").alias("passed"), F.col("v.feedback").alias("feedback"), F.when(wrong.isNotNull(), F.concat_ws(": ", "check", wrong)).alias("wrong"))
@@ -73,7 +66,7 @@ def review_rounds(records: DataFrame, generate: Backend, review: Backend, derive
     history = None
     live = records.where(~blank).select("record_id", F.col("text").alias("source"), none.alias("rejected"), none.alias("retry_rules"))
     for attempt in range(1, max_rounds + 1):
-        asked = _asked(live, "generate", generate, F.col("source"), F.array_distinct(F.concat(fixed, "retry_rules")).alias("rules"), F.col("rejected"))
+        asked = model_stage.asked(live, "generate", generate, F.col("source"), F.array_distinct(F.concat(fixed, "retry_rules")).alias("rules"), F.col("rejected"))
         made = cut(asked.withColumn("c", parsing.candidate_udf("response", "source")).withColumn("error", F.coalesce("error", "c.error")))
         seen = _reviewed(made.where("error is null"), review)
         out = made.join(seen, "record_id", "left").withColumn("error", F.coalesce("error", "review_error"))
@@ -87,7 +80,7 @@ def review_rounds(records: DataFrame, generate: Backend, review: Backend, derive
         if derive is None:
             again = again.withColumn("new_rules", none)
         else:
-            told = _asked(again, "retry_rules", derive, F.col("source"), F.col("c.text").alias("text"), F.col("failed"))
+            told = model_stage.asked(again, "retry_rules", derive, F.col("source"), F.col("c.text").alias("text"), F.col("failed"))
             learnt = parsing.rules_udf("response", F.transform("failed", lambda x: x["check"]), F.col("c.answer").isNotNull())
             again = cut(told.withColumn("new_rules", F.transform(learnt, lambda r: r["rule"])))
         tried = lambda df, new: df.select("record_id", F.lit(attempt).alias("attempt"), "c.action", "c.text", "failed", new.alias("retry_rules"))
@@ -111,7 +104,7 @@ def confirmed_rules(records: DataFrame, results: DataFrame, history: DataFrame,
     lessons = history.where(F.size("failed") > 0).join(won, "record_id").where("text <> won_text or action <> won_action")
     # a record's attempts are at most max_rounds
     per = lessons.groupBy("record_id", "won_action", "won_text").agg(F.array_sort(F.collect_list(F.struct("attempt", "text", "failed"))).alias("rejected"))
-    told = _asked(per.join(records.select("record_id", F.col("text").alias("source")), "record_id"), "confirmed_rules", derive, F.col("source"), F.col("won_text").alias("text"), F.col("rejected"))
+    told = model_stage.asked(per.join(records.select("record_id", F.col("text").alias("source")), "record_id"), "confirmed_rules", derive, F.col("source"), F.col("won_text").alias("text"), F.col("rejected"))
     checks = F.array_distinct(F.flatten(F.transform("rejected", lambda r: F.transform(r["failed"], lambda x: x["check"]))))
     found = told.select("record_id", F.explode(parsing.rules_udf("response", checks, F.lit(False))).alias("r")).select("r.category", "r.rule", F.col("record_id").alias("source_record_id"))
     key = lambda df: df.withColumn("_low", F.lower("rule"))

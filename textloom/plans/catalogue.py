@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, native, parsing, segment
-from textloom.operators import canonical, graphs, hints, lexnorm, retriever, review, triples
-from textloom.plans import agents, model_stage
+from textloom.operators import canonical, graphs, hints, lexnorm, numbering, retriever, review, triples
+from textloom.plans.lineage import cut
+from textloom.plans import agents, corpus, edc, model_stage
+from textloom.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -98,11 +100,14 @@ def safe_correction(t):
     return t("documents").select("doc_id", parsing.safe_udf("text", new).alias("safe"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE contains(line, ':')),
-p AS (SELECT doc_id, i, trim(string_split(line, ':')[1]) AS relation, trim(substr(line, strpos(line, ':') + 1)) AS definition FROM l)
+# relation lists as a model writes them: of a nation its suppliers' segments, one of them twice, an answer line, one without a colon
+@query("""WITH x AS (SELECT n_nationkey AS doc_id, unnest([n_name || ': first of ' || n_name, 'Answer: none', ' next_to : lies by: ' || n_regionkey, 'no definition', n_name || ': again ' || n_regionkey]) AS line, unnest([1, 2, 3, 4, 5]) AS i FROM nation),
+p AS (SELECT doc_id, i, trim(split_part(line, ':', 1)) AS relation, trim(substr(line, strpos(line, ':') + 1)) AS definition FROM x WHERE contains(line, ':'))
 SELECT doc_id, relation, arg_max(definition, i) AS definition FROM p WHERE relation <> 'Answer' GROUP BY doc_id, relation""")
 def relation_definition_parse(t):
-    return t("documents").select("doc_id", F.inline(native.relation_definitions(F.col("text"))))
+    region = F.col("n_regionkey").cast("string")
+    text = F.concat_ws("\n", F.concat("n_name", F.lit(": first of "), "n_name"), F.lit("Answer: none"), F.concat(F.lit(" next_to : lies by: "), region), F.lit("no definition"), F.concat("n_name", F.lit(": again "), region))
+    return t("nation").select(F.col("n_nationkey").alias("doc_id"), F.inline(native.relation_definitions(text)))
 
 
 @query(r"SELECT conv_id, turn, CASE upper(regexp_extract(text, '(?i)^\s*(YES|NO|UNSURE)\s*[.!]?\s*$', 1)) WHEN '' THEN 'UNSURE' ELSE upper(regexp_extract(text, '(?i)^\s*(YES|NO|UNSURE)\s*[.!]?\s*$', 1)) END AS label FROM conversations")
@@ -158,35 +163,141 @@ def clean_book_pages(t):
     return t("pages").select("page_id", clean.clean_book_udf("html").alias("text"))
 
 
-@query()
+# what SQL can state of cuts: pieces hold the text's words in order, fit the limit unless a word or formula is longer, and
+# offset chunks with the white space between them are the text
+BARE_TEXT = r"regexp_replace(text, '[\s\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0085}\x{001c}-\x{001f}]+', '', 'g')"
+
+
+@query(f"SELECT doc_id, md5({BARE_TEXT}) AS words, true AS trimmed, true AS fits FROM documents WHERE {BARE_TEXT} <> ''")
 def split_segments(t):
-    return t("documents").select("doc_id", F.posexplode(segment.split_udf("text", F.lit(1800))).alias("part", "text"))
+    """Pieces of every text, as invariants: the rejoined words, no white space around pieces, and the limit."""
+    pieces = cut(t("documents").select("doc_id", F.posexplode(segment.split_udf("text", F.lit(1800))).alias("part", "piece")))
+    bare = lambda c: F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", "")
+    # a text's pieces are as many as its length over half the limit
+    per = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "piece"))), lambda x: x["piece"]), "")
+    fits = (F.length("piece") <= 1800) | ~F.rlike(F.substring("piece", 1, 1800), F.lit(r"[.!?]\s+[^$]*$"))
+    out = pieces.groupBy("doc_id").agg(F.md5(bare(per).cast("binary")).alias("words"), F.bool_and(F.rlike("piece", F.lit(r"(?Us)^\S(.*\S)?$"))).alias("trimmed"), F.bool_and(fits).alias("fits"))
+    return out
 
 
-@query()
+@query(f"SELECT doc_id, true AS numbered, true AS lines_rise, true AS fits FROM documents WHERE {BARE_TEXT} <> ''")
 def pack_segments(t):
-    return t("documents").select("doc_id", "text").mapInArrow(segment.pack_books, segment.PACKED)
+    """Segments of every text as a book: numbered from 1, their lines in order, within the limit."""
+    packed = t("documents").select("doc_id", "text").mapInArrow(segment.pack_books, segment.PACKED)
+    fits = (F.length("text") <= 1800) | ~F.contains("text", F.lit("\n\n"))
+    per = packed.groupBy("doc_id").agg((F.max("part") == F.count("*")).alias("a"), (F.min("part") == 1).alias("b"), F.bool_and(F.col("start_line") <= F.col("end_line")).alias("lines_rise"), F.bool_and(fits).alias("fits"))
+    return per.select("doc_id", (F.col("a") & F.col("b")).alias("numbered"), "lines_rise", "fits")
 
 
-@query()
+def _chunked(t) -> DataFrame:
+    return t("documents").select("doc_id", "text", F.posexplode(segment.chunks_udf("text", F.lit(1800))).alias("index", "c")).select("doc_id", "text", "index", "c.start", "c.end")
+
+
+@query(f"SELECT doc_id, length(text)::BIGINT AS n_chars, true AS rising, md5({BARE_TEXT}) AS words FROM documents WHERE {BARE_TEXT} <> ''")
 def chunk_offsets(t):
-    return t("documents").select("doc_id", F.posexplode(segment.chunks_udf("text", F.lit(1800))).alias("index", "c")).select("doc_id", "index", "c.start", "c.end")
+    """Offset chunks of every text: they rise without overlap and hold all that is no white space."""
+    chunked = cut(t("documents").select("doc_id", "text", segment.chunks_udf("text", F.lit(1800)).alias("c")).where(F.size("c") > 0))
+    rising = F.forall(F.sequence(F.lit(1), F.size("c")), lambda i: (F.get("c", i - 1)["start"] < F.get("c", i - 1)["end"]) & F.coalesce(F.get("c", i - 1)["end"] <= F.get("c", i)["start"], F.lit(True)))
+    held = F.array_join(F.transform("c", lambda x: F.substring(F.col("text"), x["start"] + 1, x["end"] - x["start"])), "")
+    return chunked.select("doc_id", F.length("text").cast("long").alias("n_chars"), rising.alias("rising"), F.md5(F.regexp_replace(held, r"(?U)[\s\x1c-\x1f]+", "").cast("binary")).alias("words"))
 
 
-@query()
+@query("""WITH RECURSIVE b AS (SELECT doc_id, length(text) AS n FROM documents WHERE regexp_matches(text, '\\S'))
+SELECT count(*) AS books, count(*) FILTER (n <= 1800) AS whole, true AS enough FROM b""")
 def chunk_plan_counts(t):
-    return t("documents").select(F.size(segment.chunks_udf("text", F.lit(1800))).alias("n")).agg(F.count("*").alias("books"), F.sum("n").alias("chunks"))
+    """Books and their chunks without work on them: a book within the limit is one chunk, a longer one at least its length over the limit."""
+    n = t("documents").select(F.length("text").alias("n"), F.size(segment.chunks_udf("text", F.lit(1800))).alias("chunks")).where("chunks > 0")
+    return n.agg(F.count("*").alias("books"), F.count(F.when((F.col("n") <= 1800) & (F.col("chunks") == 1), 1)).alias("whole"), F.bool_and(F.col("chunks") >= F.floor(F.col("n") / 3700)).alias("enough"))
+
+
+CLEANED = "(SELECT doc_id, text FROM documents WHERE NOT regexp_matches(text, '[$&<>#\\\\\\[]'))"
 
 
-@query("SELECT sum(length(text))::BIGINT AS chars_in, sum(length(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))))::BIGINT AS chars_out FROM documents")
+@query(rf"""SELECT sum(length(text))::BIGINT AS chars_in, sum(length(trim(regexp_replace(regexp_replace(text, '\s+([,.;:!?])', '\1', 'g'), '\s+', ' ', 'g'))))::BIGINT AS chars_out FROM {CLEANED}""")
 def cleanup_character_counts(t):
-    return t("documents").agg(F.sum(F.length("text")).alias("chars_in"), F.sum(F.length(native.collapse_space(F.col("text")))).alias("chars_out"))
+    """Characters before and after the cleanup, of the texts without markup signs: there SQL can state the whole cleanup."""
+    plain = t("documents").where(~F.rlike("text", F.lit(r"[$&<>#\\\[]")))
+    return plain.agg(F.sum(F.length("text")).alias("chars_in"), F.sum(F.length(clean.clean_text_udf("text"))).alias("chars_out"))
 
 
-@query("SELECT item_id, lower(trim(regexp_replace(replace(translate(text, 'ñ', 'n'), '_', ' '), '[ \t\n\r]+', ' ', 'g'))) AS low, length(text)::BIGINT AS n FROM benchmark")
+@query("SELECT doc_id, length(nfc_normalize(text))::BIGINT AS n FROM documents")
+def nfc_text_length(t):
+    return t("documents").select("doc_id", F.length(clean.nfc_udf("text")).cast("long").alias("n"))
+
+
+@query("SELECT page_id, length(html)::BIGINT AS n_html, true AS no_tags, true AS no_comments FROM pages")
+def page_text_lengths(t):
+    """HTML to text: no tag and no comment is left in a page's lines."""
+    text = clean.html_text_udf("html")
+    return t("pages").select("page_id", F.length("html").cast("long").alias("n_html"), (~F.rlike(text, F.lit(r"</?[a-zA-Z][^<>]*>"))).alias("no_tags"), (~F.contains(text, F.lit("<!--"))).alias("no_comments"))
+
+
+@query(r"""SELECT item_id, replace(replace(strip_accents(regexp_replace(lower(trim(regexp_replace(replace(regexp_replace(text, '(\p{Ll})(\p{Lu})', '\1 \2', 'g'), '_', ' '), '[ \t\n\r]+', ' ', 'g'))), ' \([^()]*\)$', '')), 'đ', 'd'), 'Đ', 'D') AS low, length(text)::BIGINT AS n FROM benchmark""")
 def normalised_benchmark(t):
-    text = F.translate("text", "ñ", "n")
-    return t("benchmark").select("item_id", F.lower(native.collapse_space(F.replace(text, F.lit("_"), F.lit(" ")))).alias("low"), F.length("text").cast("long").alias("n"))
+    return t("benchmark").select("item_id", native.normalise_for_scoring(F.col("text")).alias("low"), F.length("text").cast("long").alias("n"))
+
+
+# answers of a model as literal rows, with what becomes of each
+def _answers(name: str, cases: list[tuple]):
+    """Cases: (answer, outcome...); the SQL states the outcomes by the case's number."""
+
+    def register(f):
+        columns = f.__annotations__["return"].strip("'\"").split()
+        values = ", ".join("(" + ", ".join(map(str, [i])) + ", " + ", ".join("NULL" if v is None else str(v).upper() if isinstance(v, bool) else "'" + v.replace("'", "''") + "'" for v in c[1:]) + ")" for i, c in enumerate(cases))
+        names = ", ".join(["case_id", *columns])
+        f.__annotations__ = {}
+        run = lambda t: f(t("region").sparkSession.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "case_id long, answer string"))
+        run.__name__ = name
+        return query(f"SELECT case_id::BIGINT AS case_id, {', '.join(columns)} FROM (VALUES {values}) AS v({names})")(run)
+
+    return register
+
+
+@_answers("verdict_outcomes", [
+    ('{"passed": true, "feedback": ""}', True, "", None), ('{"passed": false, "feedback": "two"}', False, "two", None), ('{"passed": false, "feedback": "x", "score": 1}', False, "x", None),
+    ('{"passed": "false", "feedback": "x"}', None, None, "invalid"), ('{"passed": true, "feedback": null}', None, None, "invalid"), ('{"passed": true}', None, None, "invalid"), ('{"passed": false, "feedback": " "}', None, None, "failed without feedback"),
+    ('{"passed": false, "feedback": "not do', None, None, "truncated"), ('{"passed": false, "feedback": "done"', None, None, "truncated"), ('{"passed":, "feedback": "x"}', None, None, "invalid"), ("[]", None, None, "invalid"), ("fine", None, None, "invalid"),
+])
+def _verdicts(rows) -> "passed feedback error":  # noqa: F722
+    return rows.withColumn("v", parsing.verdict_udf("answer")).select("case_id", "v.passed", "v.feedback", "v.error")
+
+
+def _offer(**fields) -> str:
+    import json
+
+    return json.dumps({"action": "rewrite", "text": "1 + 2? A. 3 B. 4", "answer": None, "explanation": None, "reason": "checked", **fields}, ensure_ascii=False)
+
+
+_SOLVED = "1 + 2? A. 3 B. 4\nĐáp án: A\nGiải thích: the sum is 3."
+
+
+@_answers("candidate_outcomes", [
+    (_offer(), "keep", "1 + 2? A. 3 B. 4", None, None), (_offer(action="keep", text="2 + 1?"), "rewrite", "2 + 1?", None, None), (_offer(action="drop", text=""), "drop", "", None, None), (_offer(action="drop"), None, None, None, "drop with content"),
+    (_offer(answer="A", explanation="the sum is 3."), "rewrite", _SOLVED, "A", None), (_offer(text=_SOLVED, answer="A", explanation="the sum is 3."), "rewrite", _SOLVED, "A", None),
+    (_offer(text="1 + 2? A. 3 B. 4\nĐáp án: B", answer="A", explanation="x"), None, None, None, "conflicting answer"), (_offer(answer="A"), None, None, None, "explanation"), (_offer(text=5), None, None, None, "fields"), (_offer(reason=""), None, None, None, "fields"),
+    (_offer(text=" "), None, None, None, "empty rewrite"), (_offer(more=1), None, None, None, "fields"), (_offer()[:25], None, None, None, "truncated"), ("none", None, None, None, "invalid"), ("```json\n" + _offer(action="keep") + "\n```", "keep", "1 + 2? A. 3 B. 4", None, None),
+])
+def _candidates(rows) -> "action text answer error":  # noqa: F722
+    return rows.withColumn("c", parsing.candidate_udf("answer", F.lit("1 + 2? A. 3 B. 4"))).select("case_id", "c.action", "c.text", "c.answer", "c.error")
+
+
+@query("""WITH RECURSIVE r AS (SELECT conv_id, turn, role, length(role) + length(text) + 32 AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM conversations),
+w AS (SELECT conv_id, turn, n, cost <= 200 AS kept, CASE WHEN cost <= 200 THEN 200 - cost ELSE 200 END AS room FROM r WHERE n = 1
+UNION ALL SELECT r.conv_id, r.turn, r.n, r.cost <= w.room, CASE WHEN r.cost <= w.room THEN w.room - r.cost ELSE w.room END FROM w JOIN r ON r.conv_id = w.conv_id AND r.n = w.n + 1)
+SELECT conv_id, turn FROM w WHERE kept""")
+def rule_budget(t):
+    """Turns as rules, newest first, into a budget; one that doesn't fit is passed over."""
+    # the rules of one prompt
+    per = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("r"))
+    kept = parsing.budgeted_udf(F.transform("r", lambda x: x["role"]), F.transform("r", lambda x: x["text"]), F.lit(200))
+    return per.select("conv_id", "r", F.explode(kept).alias("k")).select("conv_id", F.get("r", F.col("k"))["turn"].alias("turn"))
+
+
+@query("SELECT record_id, unnest(string_split(f, ',')) AS check_name FROM (SELECT doc_id AS record_id, concat_ws(',', CASE WHEN quality <> 1 THEN 'quality' END, CASE WHEN toxic <> 0 THEN 'toxic' END) AS f FROM labels) WHERE f <> ''")
+def failed_checks(t):
+    checks = F.explode(F.array(F.struct(F.lit("quality").alias("check"), (F.col("quality") == 1).alias("passed")), F.struct(F.lit("toxic").alias("check"), (F.col("toxic") == 0).alias("passed"))))
+    done = review.accepted(t("labels").select(F.col("doc_id").alias("record_id"), checks.alias("v")).select("record_id", "v.check", "v.passed"))
+    return done.where("failed_checks <> ''").select("record_id", F.explode(F.split("failed_checks", ",")).alias("check_name"))
 
 
 # --- triples
@@ -254,12 +365,12 @@ def triple_questions(t):
     return gold_pred(t)[0].select("graph_id", "pos", native.triple_question(F.col("s"), F.col("p"), F.col("o")).alias("prompt"))
 
 
-@query(f"WITH {STAR_SQL}, x AS (SELECT graph_id, s || ' ' || p AS sentence, s, o FROM gold) SELECT graph_id, sentence FROM x WHERE contains(lower(sentence), lower(s)) AND contains(lower(sentence), lower(o))")
+@query(f"WITH {STAR_SQL}, x AS (SELECT graph_id, pos, lower(s) || CASE WHEN pos % 3 = 0 THEN ' ' || p ELSE ' ' || p || ' ' || upper(o) END AS sentence, s, o, pos % 5 = 0 AS four FROM gold) SELECT graph_id, pos, sentence FROM x WHERE NOT four AND contains(lower(sentence), lower(s)) AND contains(lower(sentence), lower(o))")
 def tekgen_filter(t):
-    from textloom.sources.readers import tekgen
-
-    rows = gold_pred(t)[0].select("graph_id", F.concat_ws(" ", "s", "p").alias("sentence"), F.array(F.array("s", "p", "o")).alias("triples"))
-    return tekgen(rows).select("graph_id", "sentence")
+    """Sentences of every star triple; a third lack the object, a fifth have a triple of four fields."""
+    fields = F.when(F.col("pos") % 5 == 0, F.array("s", "p", "o", "p")).otherwise(F.array("s", "p", "o"))
+    sentence = F.concat_ws(" ", F.lower("s"), "p", F.when(F.col("pos") % 3 != 0, F.upper("o")))
+    return readers.tekgen(gold_pred(t)[0].select("graph_id", "pos", sentence.alias("sentence"), F.array(fields).alias("triples"))).select("graph_id", "pos", "sentence")
 
 
 @query("""WITH x AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0)
@@ -277,9 +388,7 @@ z AS (SELECT list_inner_product(e, pos) AS p, list_inner_product(e, list_reverse
 
 def _pairs(t) -> DataFrame:
     """Each vector with the next of its label as positive and that one reversed as negative."""
-    from pyspark.sql import Window
-
-    v = t("embeddings").withColumn("pos", F.lead("embedding").over(Window.partitionBy("label").orderBy("vec_id"))).where("pos is not null")
+    v = numbering.next_in_group(t("embeddings").select("vec_id", "label", "embedding"), "vec_id", "label", "embedding").withColumnRenamed("next_embedding", "pos")
     return v.select(native.dot(F.col("embedding"), F.col("pos")).alias("p"), native.dot(F.col("embedding"), F.reverse("pos")).alias("n"), F.sqrt(native.dot(F.col("embedding"), F.col("embedding")) * native.dot(F.col("pos"), F.col("pos"))).alias("c"))
 
 
@@ -301,14 +410,32 @@ def _sides(t) -> DataFrame:
     return gold.select(F.lit("gold").alias("side"), "*").unionByName(pred.select(F.lit("pred").alias("side"), "*"))
 
 
-@query()
-def graph_matching_scores(t):
-    return graphs.graph_scores(_sides(t))
+# gold and predicted edges differ in the object alone, and only where the prediction puts the segment for the country
+WRONG_SQL = f"""WITH {STAR_SQL}, g AS (SELECT graph_id, count(*) AS n FROM gold GROUP BY 1), w AS (SELECT gold.graph_id, count(*) AS wrong FROM gold JOIN pred USING (graph_id, pos) WHERE gold.o <> pred.o GROUP BY 1)"""
 
 
-@query()
+@query(f"{WRONG_SQL} SELECT g.graph_id, coalesce(wrong, 0) = 0 AS isomorphic_if_right, true AS bounded, true AS perfect_if_right FROM g LEFT JOIN w USING (graph_id)")
+def graph_matching_scores(t):
+    """Scores of every graph, as what must hold: 1 for a right prediction, between 0 and 1 otherwise, precision = recall = F1 for as many edges."""
+    gold, pred = gold_pred(t)
+    scores = graphs.graph_scores(_sides(t))
+    wrong = gold.join(pred.select("graph_id", "pos", F.col("o").alias("guess")), ["graph_id", "pos"]).groupBy("graph_id").agg(F.max((F.col("o") != F.col("guess")).cast("int")).alias("wrong"))
+    near = lambda c, x: F.abs(F.col(c) - x) < 1e-9
+    bounded = F.lit(True)
+    for k in ("bleu", "rouge"):
+        bounded = bounded & F.col(f"{k}_f1").between(0, 1 + 1e-9) & near(f"{k}_p", F.col(f"{k}_r")) & near(f"{k}_p", F.col(f"{k}_f1"))
+    perfect = (F.col("wrong") == 1) | (near("rouge_f1", 1.0) & (F.col("edit_distance") == 0))  # BLEU smooths the orders that an edge is too short for
+    return scores.join(wrong, "graph_id").select("graph_id", (F.col("isomorphic") & (F.col("wrong") == 0)).alias("isomorphic_if_right"), bounded.alias("bounded"), perfect.alias("perfect_if_right"))
+
+
+@query(f"""{WRONG_SQL}, n AS (SELECT g.graph_id, g.n, coalesce(wrong, 0) AS wrong FROM g LEFT JOIN w USING (graph_id)), s AS (SELECT unnest(['ent_type', 'partial', 'strict', 'exact']) AS scheme),
+k AS (SELECT unnest(['ALL', 'SUB', 'PRED', 'OBJ']) AS tag, unnest([3, 1, 1, 1]) AS slots, unnest([1, 0, 0, 1]) AS hit)
+SELECT graph_id, scheme, tag, (slots * n - hit * wrong)::BIGINT AS correct, 0::BIGINT AS incorrect, 0::BIGINT AS partial, (hit * wrong)::BIGINT AS missed, (hit * wrong)::BIGINT AS spurious,
+round((slots * n - hit * wrong) / (slots * n), 6) AS precision, round((slots * n - hit * wrong) / (slots * n), 6) AS recall, round((slots * n - hit * wrong) / (slots * n), 6) AS f1 FROM n, s, k""")
 def slot_scores(t):
-    return graphs.slot_scores(_sides(t))
+    """Each triple's slots against its prediction; a wrong object shares no word with the right one, so it is missed and spurious."""
+    got = graphs.slot_scores(_sides(t))
+    return got.select("graph_id", "scheme", "tag", *graphs.KINDS, *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
 
 
 # --- review, resume, normalisation
@@ -352,10 +479,18 @@ def publishable_books(t):
     return review.publishable(_chunks(t), _saved(t))
 
 
-@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations WHERE role <> 'system' GROUP BY conv_id")
+@query(r"""WITH x AS (SELECT conv_id, bool_or(role = 'system') AS dropped, string_agg(CASE role WHEN 'system' THEN '' WHEN 'user' THEN replace(text, 'e', 'E') ELSE text END, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN dropped THEN trim(regexp_replace(text, '\n(?:[ \t]*\n){2,}', chr(10) || chr(10), 'g'), chr(10)) ELSE text END AS text FROM x""")
 def assemble_text(t):
-    parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    return t("conversations").where("role <> 'system'").groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n\n").alias("text"))
+    """Turns as chunks of a book: a system's are dropped, a user's rewritten, all others kept."""
+    # one conversation
+    per = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("r"))
+    sizes = F.transform("r", lambda x: F.length(x["text"]) + 2)
+    begin = lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda a, x: a + x)
+    status = lambda x: F.when(x["role"] == "system", "dropped").when(x["role"] == "user", "accepted").otherwise("model_failed")
+    done = F.transform("r", lambda x, i: F.struct(begin(i).alias("start"), (begin(i) + F.length(x["text"])).alias("end"), status(x).alias("status"), F.when(x["role"] == "user", F.replace(x["text"], F.lit("e"), F.lit("E"))).otherwise("").alias("text")))
+    whole = F.array_join(F.transform("r", lambda x: x["text"]), "\n\n")
+    return per.select("conv_id", segment.assemble_udf(whole, done).alias("text"))
 
 
 @query("""WITH w AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations)
@@ -398,7 +533,7 @@ def choice_blocks(t):
     return t("benchmark").select("item_id", "text", native.choice_block(words).alias("choices"))
 
 
-@query()
+@query(f"WITH {STAR_SQL}, q AS (SELECT graph_id, pos, 'Is this true: ' || s || ' ' || p || ' ' || o || '?' AS prompt FROM gold) SELECT graph_id, pos, list_extract(['YES', 'NO', 'UNSURE'], 1 + ('0x' || substr(sha256(prompt), 1, 2))::INT % 3) AS label, NULL::VARCHAR AS error FROM q")
 def judged_offline(t):
     """Model stage with the offline backend: distinct questions, one call each, verdicts joined back."""
     rows = gold_pred(t)[0].select("graph_id", "pos", native.triple_question(F.col("s"), F.col("p"), F.col("o")).alias("prompt"))
@@ -544,3 +679,113 @@ def canonical_relations(t):
     response = F.element_at(F.array(*[F.lit(x) for x in ("A", "B. works_for", "C", "")]), F.floor(F.col("pos") % 8 / 2).cast("int") + 1)
     answers = rows.select("doc_id", "pos", F.array(F.lit("trades_in"), F.lit("works_for")).alias("options"), response.alias("response"))
     return canonical.canonicalised(rows, rows.sparkSession.createDataFrame([("lives_in",)], "relation string"), answers)
+
+
+# --- the chain from texts to a graph
+
+NAMES_SQL = r"""w AS (SELECT doc_id, text, regexp_extract_all(text, '[A-ZÀ-ÖØ-Þ][\p{L}]*') AS w FROM documents),
+t AS (SELECT doc_id, text, i - 1 AS pos, w[i] AS s, w[i + 1] AS o FROM (SELECT *, unnest(range(1, len(w))) AS i FROM w))"""
+
+
+def _texts(t) -> DataFrame:
+    return t("documents").select(F.col("doc_id").cast("string").alias("index"), F.col("text").alias("input_text"))
+
+
+def _schema(t) -> DataFrame:
+    """Relations with definitions: one that names follow in, and one for each region."""
+    regions = t("region").select(F.concat(F.lit("located_in_"), F.lower(F.translate("r_name", " ", "_"))).alias("relation"), F.concat(F.lit("a place lies in "), "r_name").alias("definition"))
+    return regions.unionByName(regions.sparkSession.createDataFrame([("followed_by", "one name followed by another")], "relation string, definition string"))
+
+
+@query(f"WITH {NAMES_SQL} SELECT CASE WHEN s <= o THEN 'followed_by' END AS p, count(*) AS n FROM t GROUP BY 1")
+def refined_graph(t):
+    """Every document through extraction, definition, canonicalisation and one round of refinement: an unknown relation that
+    no schema relation shares a word with is lost."""
+    stages, _ = edc.refined(_texts(t), _schema(t), edc.offline, iterations=1)
+    return stages.select(F.explode("canonical").alias("t")).groupBy("t.p").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {NAMES_SQL} SELECT DISTINCT CASE WHEN s <= o THEN 'followed_by' ELSE 'comes_after' END AS relation FROM t UNION SELECT 'followed_by' UNION SELECT 'located_in_' || lower(replace(r_name, ' ', '_')) FROM region")
+def enriched_schema(t):
+    """The schema after a run that adds the relations that nothing fits."""
+    return edc.refined(_texts(t), _schema(t), edc.offline, enrich=True)[1].select("relation")
+
+
+def _records(t) -> DataFrame:
+    return t("documents").select(F.col("doc_id").cast("string").alias("id"), "text", F.col("source").alias("source_id"))
+
+
+@query(f"SELECT doc_id::VARCHAR AS record, CASE WHEN {BARE_TEXT} = '' THEN 'skipped_empty_after_cleanup' ELSE 'ready' END AS status, true AS numbered, true AS named, true AS fits FROM documents")
+def prepared_documents(t):
+    """Segments of every document: status, parts numbered from 1, ids that name their part where there are several, the limit."""
+    rows = corpus.prepared(_records(t)).withColumn("record", F.substring_index("id", "::part", 1))
+    n = F.count("part")
+    named = F.bool_and(F.col("part").isNull() | (F.col("id") == F.col("record")) | (F.col("id") == F.concat("record", F.lit("::part"), F.col("part").cast("string"))))
+    fits = F.bool_and((F.length("clean_text") <= 1800) | ~F.rlike(F.substring("clean_text", 1, 1800), F.lit(r"[.!?]\s+[^$]*$")))
+    return rows.groupBy("record").agg(F.min("status").alias("status"), ((n == 0) | ((F.max("part") == n) & (F.min("part") == 1))).alias("numbered"), named.alias("named"), fits.alias("fits"))
+
+
+@query(rf"""WITH {NAMES_SQL}, d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\s+([,.;:!?])', '\1', 'g'), '\s+', ' ', 'g')) AS text FROM documents WHERE NOT regexp_matches(text, '[$&<>#\\\[]') AND length(text) <= 1800),
+x AS (SELECT DISTINCT d.doc_id, d.text, s, o FROM t JOIN d USING (doc_id))
+SELECT CASE WHEN contains(text, s || ' ' || o) THEN 'YES' ELSE 'NO' END AS label, count(*) AS n FROM x GROUP BY 1""")
+def verified_triples(t):
+    """Triples of the documents that are one segment without markup (there SQL can state the cleanup), each once, judged by their text."""
+    records = _records(t).where(~F.rlike("text", F.lit(r"[$&<>#\\\[]")) & (F.length("text") <= 1800))
+    segments = cut(corpus.prepared(records))
+    schema = _schema(t).unionByName(t("region").sparkSession.createDataFrame([("comes_after", "one name comes after another")], "relation string, definition string"))
+    stages, _ = edc.refined(corpus.model_inputs(segments), schema, edc.offline)
+    return corpus.judged(segments, stages).groupBy("label").agg(F.count("*").alias("n"))
+
+
+# --- checkpoints and runs
+
+@query(f"WITH {SAVED_SQL}, l AS (SELECT source_path, index, arg_max(status, ord) AS status FROM saved GROUP BY 1, 2), c AS (SELECT conv_id, count(*) AS n, count(status) AS done, count(*) FILTER (status = 'accepted') AS a, count(*) FILTER (status = 'model_failed') AS f FROM conversations LEFT JOIN l ON conv_id = source_path AND turn = index GROUP BY 1) SELECT count(*) AS books, sum(n)::BIGINT AS chunks, sum(done)::BIGINT AS processed, count(*) FILTER (n = done) AS completed, sum(a)::BIGINT AS accepted, 0::BIGINT AS dropped, 0::BIGINT AS review_rejected, sum(f)::BIGINT AS model_failed FROM c")
+def run_summary(t):
+    return review.run_summary(_chunks(t), _saved(t))
+
+
+@query("SELECT conv_id AS source_path, turn AS index, CASE WHEN turn % 4 = 1 THEN 'status' WHEN turn % 4 = 2 THEN 'saved before' WHEN turn % 4 = 3 THEN 'another source or offsets' END AS reason FROM conversations WHERE turn % 4 > 0")
+def checkpoint_errors(t):
+    """Turns as saved chunks: each fourth is sound, the others are saved with an unknown status, saved again after success, or again with other offsets."""
+    c = t("conversations").select(F.col("conv_id").alias("source_path"), F.col("turn").alias("index"), F.md5("role").alias("source_sha256"), F.lit(0).alias("start"), F.length("text").alias("end"), "text", (F.col("turn") % 4).alias("k"))
+    first = c.withColumn("ord", F.lit(1)).withColumn("status", F.when(F.col("k") == 1, "done").when(F.col("k") == 2, "accepted").otherwise("model_failed"))
+    again = c.where("k > 1").withColumn("ord", F.lit(2)).withColumn("status", F.lit("accepted")).withColumn("end", F.when(F.col("k") == 3, F.col("end") + 1).otherwise(F.col("end")))
+    return review.checkpoint_errors(first.unionByName(again)).select("source_path", "index", "reason")
+
+
+@query(f"""WITH {STAR_SQL}, d AS (SELECT DISTINCT graph_id, o FROM gold), n AS (SELECT graph_id, o, lead(o) OVER w AS up, first(o) OVER w AS low FROM d WINDOW w AS (PARTITION BY graph_id ORDER BY o)),
+x AS (SELECT graph_id, pos, s, p, o, coalesce(up, CASE WHEN low <> o THEN low END) AS z FROM gold JOIN n USING (graph_id, o))
+SELECT graph_id, pos, 'Is this true: ' || s || ' ' || p || ' ' || o || '?' AS instruction, 'Yes, this is true.' AS output, true AS label FROM x UNION ALL SELECT graph_id, pos, 'Is this true: ' || s || ' ' || p || ' ' || z || '?', 'No, this is not true.', false FROM x WHERE z IS NOT NULL""")
+def labelled_instructions(t):
+    return triples.labelled_questions(gold_pred(t)[0])
+
+
+@query(f"WITH {STAR_SQL}, k AS (SELECT graph_id, list(DISTINCT p ORDER BY p) AS r, list(DISTINCT e ORDER BY e) AS e FROM (SELECT graph_id, p, unnest([s, o]) AS e FROM gold) GROUP BY 1) SELECT graph_id, array_to_string(r, '|') AS relations, array_to_string(e, '|') AS entities FROM k")
+def graph_vocabulary(t):
+    """Distinct relations and entities of every graph, sorted."""
+    # one graph
+    per = gold_pred(t)[0].groupBy("graph_id").agg(F.collect_list(F.struct("s", "p", "o")).alias("oie"))
+    relations, entities = edc.relations_and_entities(F.col("oie"))
+    return per.select("graph_id", F.array_join(relations, "|").alias("relations"), F.array_join(entities, "|").alias("entities"))
+
+
+@query(f"WITH {STAR_SQL}, x AS (SELECT graph_id, pos, s, p, o, chr(39) AS q FROM gold WHERE pos % 7 > 0) SELECT graph_id, '[' || string_agg('[' || q || s || q || ', ' || q || p || q || ', ' || q || o || q || ']', ', ' ORDER BY pos) || ']' AS value FROM x GROUP BY 1")
+def printed_graphs(t):
+    """Canonical triples of every graph in printed form; those without a relation are left out."""
+    p = F.when(F.col("pos") % 7 > 0, F.col("p"))
+    # one graph
+    per = gold_pred(t)[0].groupBy(F.col("graph_id").alias("index")).agg(F.array_sort(F.collect_list(F.struct("pos", "s", p.alias("p"), "o"))).alias("canonical"))
+    return sinks.canon_lines(per).select(F.col("index").alias("graph_id"), "value")
+
+
+@query("SELECT label, count(*) AS n FROM (SELECT NOT (contains(h, 'no') OR contains(h, 'false') OR contains(h, 'không') OR contains(h, 'sai')) AS label FROM (SELECT lower(substr(text, 1, 15)) AS h FROM conversations)) GROUP BY 1")
+def judge_label_short(t):
+    return t("conversations").select(native.short_judgment(F.col("text")).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, o_orderpriority AS word, n AS meaning FROM orders JOIN (SELECT '1-URGENT' AS w, 'at once' AS n UNION ALL SELECT '5-LOW', 'some day') d ON o_orderpriority = w")
+def dictionary_lookup(t):
+    """Words that a dictionary has, with their meaning; the others are for a model."""
+    known = t("orders").sparkSession.createDataFrame([("1-URGENT", "at once"), ("5-LOW", "some day")], "word string, meaning string")
+    hits, _ = triples.found_or_missing(t("orders").select("o_orderkey", F.col("o_orderpriority").alias("word")), known)
+    return hits.select("o_orderkey", "word", "meaning")

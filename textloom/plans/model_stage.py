@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.plans.lineage import cut
+
 ANSWERS = "prompt_id string, response string, error string, attempts int"
 
 
@@ -25,26 +29,67 @@ def with_prompt_id(rows: DataFrame, model: str) -> DataFrame:
     return rows.withColumn("prompt_id", F.sha2(F.concat_ws("\u001f", F.lit(model), "prompt"), 256))
 
 
-def call(prompts: DataFrame, backend: Callable[[str], str], tries: int = 3) -> DataFrame:
-    """Answers of prompts (prompt_id, prompt). A failing call is a row with its error."""
+class Retryable(Exception):
+    """Raised by a backend for a failure that may pass, such as a rate limit or a server's own error."""
+
+
+#: Failures that are tried again; all others end a call at once.
+RETRIED = (ConnectionError, TimeoutError, Retryable)
+
+
+def speaks_http(model: str) -> bool:
+    """Whether a model's name stands for a service: the prefix `api:`, or a name with gpt in it."""
+    return model.startswith("api:") or "gpt" in model
+
+
+def wait_of(prompt_id: str, attempt: int, unit: float) -> float:
+    """Seconds before the next try: doubled each time, and up to a quarter more by the prompt, so that tries spread."""
+    return unit * (2 ** (attempt - 1) + int(hashlib.sha256(f"{prompt_id}{attempt}".encode()).hexdigest()[:4], 16) / 0x3FFFC)
+
+
+def call(prompts: DataFrame, backend: Callable[[str], str], tries: int = 3, unit: float = 0.0, concurrency: int = 8, timeout: float | None = None, retried: tuple[type[Exception], ...] = RETRIED) -> DataFrame:
+    """Answers of prompts (prompt_id, prompt): response, error, attempts. A failing call is a row with its error.
+
+    At most `concurrency` calls run at once in a task. A call that takes longer than timeout seconds counts as a
+    TimeoutError and is tried again. unit: seconds that the wait before another try is made of.
+    """
+
+    def ask(key: str, prompt: str) -> tuple:
+        for attempt in range(1, tries + 1):
+            try:
+                return key, _timed(backend, prompt, timeout), None, attempt
+            except Exception as e:  # kept as data: one row must not end the run
+                if attempt == tries or not isinstance(e, retried):
+                    return key, None, type(e).__name__, attempt
+            if unit:
+                time.sleep(wait_of(key, attempt, unit))
+        return key, None, "no tries", 0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for key, prompt in zip(batch["prompt_id"], batch["prompt"]):
-                for attempt in range(1, tries + 1):
-                    try:
-                        out.append((key, backend(prompt), None, attempt))
-                        break
-                    except Exception as e:  # kept as data: one row must not end the run
-                        if attempt == tries or isinstance(e, OutputTruncated):
-                            out.append((key, None, type(e).__name__, attempt))
-                            break
-            yield pd.DataFrame(out, columns=["prompt_id", "response", "error", "attempts"])
+        with ThreadPoolExecutor(concurrency) as pool:
+            for batch in batches:
+                yield pd.DataFrame(list(pool.map(ask, batch["prompt_id"], batch["prompt"])), columns=["prompt_id", "response", "error", "attempts"])
 
     return prompts.mapInPandas(run, ANSWERS)
 
 
+def _timed(backend: Callable[[str], str], prompt: str, timeout: float | None) -> str:
+    if timeout is None:
+        return backend(prompt)
+    alone = ThreadPoolExecutor(1)
+    try:
+        return alone.submit(backend, prompt).result(timeout)
+    finally:
+        alone.shutdown(wait=False, cancel_futures=True)
+
+
+def asked(rows: DataFrame, task: str, backend: Callable[[str], str], *fields: Column, **options) -> DataFrame:
+    """rows with response and error; the prompt is a JSON object of the task's name and the fields. Equal prompts are called once."""
+    keyed = with_prompt_id(rows.withColumn("prompt", F.to_json(F.struct(F.lit(task).alias("task"), *fields))), task)
+    answers = cut(call(keyed.select("prompt_id", "prompt").distinct(), backend, **options))
+    return keyed.join(answers.select("prompt_id", "response", "error"), "prompt_id").drop("prompt_id", "prompt")
+
+
 def answered(rows: DataFrame, model: str, backend: Callable[[str], str], cache_path: str) -> DataFrame:
     """rows (with prompt) and their responses; only prompts that the cache lacks are called, each once."""
     spark = rows.sparkSession

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def process_new(spark: SparkSession, chunks_path: str, schema: str, out: str, checkpoint: str, process: Callable[[DataFrame], DataFrame]) -> None:
@@ -19,16 +19,14 @@ def process_new(spark: SparkSession, chunks_path: str, schema: str, out: str, ch
 
 
 def enrich(unknown: DataFrame, known: dict[str, str]) -> DataFrame:
-    """Ordered fold over triples (doc_id, pos, s, p, o, definition) whose relation is not in the schema: the first with a
-    definition adds its relation, later ones find it. Only unknown relations come here; the order makes it one group."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        have, out = dict(known), []
-        for r in rows.sort_values(["doc_id", "pos"]).itertuples(index=False):
-            fresh = r.p not in have and isinstance(r.definition, str)
-            if fresh:
-                have[r.p] = r.definition
-            out.append((r.doc_id, r.pos, r.s, r.p if r.p in have else None, r.o, fresh))
-        return pd.DataFrame(out, columns=["doc_id", "pos", "s", "p", "o", "added"])
-
-    return unknown.groupBy().applyInPandas(fold, "doc_id long, pos int, s string, p string, o string, added boolean")
+    """Ordered enrichment over triples (doc_id, pos, s, p, o, definition) whose relation the schema lacks: the first one with
+    a definition adds its relation (added), it and all later ones keep theirs, earlier ones lose it (p null).
+
+    A relation's fate hangs on its own triples alone, so the walk through all of them is a minimum for each relation and a
+    comparison with it; the rows of a hot relation combine before the shuffle.
+    """
+    at = F.struct("doc_id", "pos")
+    firsts = unknown.where(F.col("definition").isNotNull() & ~F.col("p").isin(list(known))).groupBy("p").agg(F.min(at).alias("first"))
+    told = unknown.join(firsts, "p", "left").withColumn("old", F.coalesce(F.col("p").isin(list(known)), F.lit(False)))
+    added = F.coalesce(at == F.col("first"), F.lit(False))
+    return told.select("doc_id", "pos", "s", F.when(F.col("old") | F.coalesce(at >= F.col("first"), F.lit(False)), F.col("p")).alias("p"), "o", added.alias("added"))

@@ -175,7 +175,7 @@ def split_segments(t):
     bare = lambda c: F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", "")
     # a text's pieces are as many as its length over half the limit
     per = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "piece"))), lambda x: x["piece"]), "")
-    fits = (F.length("piece") <= 1800) | ~F.rlike(F.substring("piece", 1, 1800), F.lit(r"[.!?]\s+[^$]*$"))
+    fits = (F.length("piece") <= 1800) | F.contains("piece", F.lit("$")) | ~F.rlike("piece", F.lit(r"(?U)\s"))
     out = pieces.groupBy("doc_id").agg(F.md5(bare(per).cast("binary")).alias("words"), F.bool_and(F.rlike("piece", F.lit(r"(?Us)^\S(.*\S)?$"))).alias("trimmed"), F.bool_and(fits).alias("fits"))
     return out
 
@@ -243,7 +243,7 @@ def _answers(name: str, cases: list[tuple]):
 
     def register(f):
         columns = f.__annotations__["return"].strip("'\"").split()
-        values = ", ".join("(" + ", ".join(map(str, [i])) + ", " + ", ".join("NULL" if v is None else str(v).upper() if isinstance(v, bool) else "'" + v.replace("'", "''") + "'" for v in c[1:]) + ")" for i, c in enumerate(cases))
+        values = ", ".join("(" + ", ".join(map(str, [i])) + ", " + ", ".join("NULL" if v is None else f"'{str(v).lower()}'" if isinstance(v, bool) else "'" + v.replace("'", "''") + "'" for v in c[1:]) + ")" for i, c in enumerate(cases))
         names = ", ".join(["case_id", *columns])
         f.__annotations__ = {}
         run = lambda t: f(t("region").sparkSession.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "case_id long, answer string"))
@@ -259,7 +259,7 @@ def _answers(name: str, cases: list[tuple]):
     ('{"passed": false, "feedback": "not do', None, None, "truncated"), ('{"passed": false, "feedback": "done"', None, None, "truncated"), ('{"passed":, "feedback": "x"}', None, None, "invalid"), ("[]", None, None, "invalid"), ("fine", None, None, "invalid"),
 ])
 def _verdicts(rows) -> "passed feedback error":  # noqa: F722
-    return rows.withColumn("v", parsing.verdict_udf("answer")).select("case_id", "v.passed", "v.feedback", "v.error")
+    return rows.withColumn("v", parsing.verdict_udf("answer")).select("case_id", F.col("v.passed").cast("string").alias("passed"), "v.feedback", "v.error")
 
 
 def _offer(**fields) -> str:
@@ -721,7 +721,7 @@ def prepared_documents(t):
     rows = corpus.prepared(_records(t)).withColumn("record", F.substring_index("id", "::part", 1))
     n = F.count("part")
     named = F.bool_and(F.col("part").isNull() | (F.col("id") == F.col("record")) | (F.col("id") == F.concat("record", F.lit("::part"), F.col("part").cast("string"))))
-    fits = F.bool_and((F.length("clean_text") <= 1800) | ~F.rlike(F.substring("clean_text", 1, 1800), F.lit(r"[.!?]\s+[^$]*$")))
+    fits = F.bool_and((F.length("clean_text") <= 1800) | F.contains("clean_text", F.lit("$")) | ~F.rlike("clean_text", F.lit(r"(?U)\s")))
     return rows.groupBy("record").agg(F.min("status").alias("status"), ((n == 0) | ((F.max("part") == n) & (F.min("part") == 1))).alias("numbered"), named.alias("named"), fits.alias("fits"))
 
 

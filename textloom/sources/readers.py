@@ -25,8 +25,8 @@ def _decoded(path: Column) -> Column:
 
 
 def markdown_books(spark: SparkSession, root: str, least: int = 1) -> DataFrame:
-    """rel_path, doc_id, content of every .md file under root; an error if there are fewer than `least`."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(root)
+    """rel_path, content, doc_id of every .md file under root; an error if there are fewer than `least`."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     top = unquote(_qualified(spark, root))
     # scheme and slashes may differ between the folder and its files; what follows the folder's own path doesn't
     inner = "/" + top.split(":", 1)[-1].lstrip("/") if ":" in top.split("/")[0] else top
@@ -35,7 +35,7 @@ def markdown_books(spark: SparkSession, root: str, least: int = 1) -> DataFrame:
     books = files.select(rel.alias("rel_path"), F.col("value").alias("content"))
     if least and len(books.select("rel_path").take(least)) < least:
         raise FileNotFoundError(f"no Markdown files under {root}")
-    return books.select("rel_path", book_id(F.col("rel_path")).alias("doc_id"), "content")
+    return books.select("rel_path", "content", book_id(F.col("rel_path")).alias("doc_id"))
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions import native
 from textloom.plans import corpus, edc
+from textloom.plans.progress import progress
 from textloom.sources import sinks
 
 TEXTS = [("d1", "Ann met Bob. Bob met Ann"), ("d2", "Zoe knows Ann"), ("d3", "no names here"), ("d4", "  ")]
@@ -141,3 +143,28 @@ def test_outputs(spark, records, tmp_path):
     assert stage["oie"][0] == ["Ann", "followed_by", "Bob"] and "schema_canonicalizaiton" in stage.asDict()
     printed = spark.read.text(str(tmp_path / "edc/iter0/canon")).collect()
     assert printed[0][0].startswith("[['Ann', 'followed_by', 'Bob']")
+
+
+def test_judged_prompts_descriptions_and_classifiers(spark):
+    def model(prompt):
+        if "down" in prompt:
+            raise RuntimeError
+        return "I know this." if "know" in prompt else "Yes, this is true. (confidence: 0.912)"
+
+    rows = spark.createDataFrame([("a",), ("down",), ("a know",), ("a",)], "prompt string")
+    got = {(r["prompt"], r["verdict"], r["error"]) for r in corpus.judged_prompts(rows, model).collect()}
+    assert got == {("a", True, None), ("down", None, "RuntimeError"), ("a know", False, None)}  # `no` inside a word denies, as the protocol has it
+    verdict, confidence = native.scored_judgment(F.col("t"))
+    texts = spark.createDataFrame([("Yes, this is true. (confidence: 0.912)",), ("no (confidence: .5)",), ("maybe",)], "t string")
+    assert [tuple(r) for r in texts.select(verdict, confidence).collect()] == [(True, 0.912), (False, 0.5), (None, None)]
+    graphs = spark.createDataFrame([(1, [("a", "r", "b")])], "graph_id int, triples array<struct<s:string,p:string,o:string>>")
+    assert corpus.described(graphs, lambda p: " ".join(json.loads(p)["triples"][0].values())).first()["description"] == "a r b"
+
+
+def test_progress_holds_no_texts(caplog):
+    with caplog.at_level("INFO", logger="textloom.progress"):
+        progress("chunk", number=3, status="accepted", seconds=0.5)
+    assert json.loads(caplog.records[0].message)["number"] == 3
+    for bad in ("two words", "x" * 65, ["list"]):
+        with pytest.raises(ValueError, match="short name"):
+            progress("chunk", text=bad)

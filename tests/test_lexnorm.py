@@ -79,3 +79,23 @@ def test_first_sentences_equal_the_walk(spark):
         df = spark.createDataFrame(rows, "pos int, relations array<string>").repartition(3)
         assert sorted(r["pos"] for r in hints.first_sentences(df, limit).collect()) == want
     assert hints.first_sentences(spark.createDataFrame([], "pos int, relations array<string>")).count() == 0
+
+
+def test_spans_of_flagged_pieces_merge(spark):
+    rows = spark.createDataFrame([(1, ["ko", " ", "b", "t", "!"], [True, False, True, True, False])], "id int, pieces array<string>, flags array<boolean>")
+    assert sorted(map(tuple, lexnorm.nonstandard_spans(rows, "id", "pieces", "flags").collect())) == [(1, 0, 2, "ko"), (1, 3, 5, "bt")]
+
+
+def test_likeliest_best_epoch_and_word_confidence(spark):
+    row = spark.createDataFrame([([0.1, 0.5, 0.1, 0.3],)], "p array<double>").select(lexnorm.likeliest(F.col("p"), 3).alias("k"), lexnorm.word_confidence(F.col("p")).alias("c")).first()
+    assert [tuple(x) for x in row["k"]] == [(1, 0.5), (3, 0.3), (0, 0.1)] and row["c"] == 0.1
+    epochs = spark.createDataFrame([(1, 0.5), (2, 0.7), (3, 0.7), (4, 0.1)], "epoch int, performance double")
+    assert tuple(lexnorm.best_epoch(epochs).first()) == (3, 0.7)
+
+
+def test_suggester_parts_and_statuses(spark):
+    texts = spark.createDataFrame([("a", "kob vui"), ("b", "all fine"), ("c", "kob " * 400), ("d", "x" * 900)], "id string, text string")
+    words = F.filter(F.split("part", " "), lambda w: w == "kob")
+    suggest = F.transform(words, lambda w: F.struct(w.alias("source"), F.lit("khong").alias("replacement"), F.lit(0.95).alias("confidence")))
+    got = {r["id"]: (r["suggestion_status"], [tuple(x) for x in r["suggestions"]]) for r in lexnorm.suggested(texts, suggest, F.length("part"), F.lit(True)).collect()}
+    assert got["a"] == ("suggested", [("kob", "khong", 0.95)]) == got["c"] and got["b"] == ("unchanged", []) and got["d"] == ("skipped", [])

@@ -24,6 +24,15 @@ def test_scores(spark):
     assert triples.match_accuracy(gold, pred.limit(0)).first()["accuracy"] is None
 
 
+def test_retention_and_grounding(spark):
+    before = spark.createDataFrame([(1, 0, "none", "none", "none"), (2, 0, "a", "r", "x"), (2, 1, "a", "r", "y")], T4)
+    got = {r["graph_id"]: (r["n_before"], r["n_after"]) for r in triples.retention(before, before.where("pos = 0")).collect()}
+    assert got == {1: (1, 0), 2: (2, 1)}
+    docs = spark.createDataFrame([(1, "en", "Ann met Bob and Ann"), (2, "en", None), (3, "de", "Eins")], "doc_id long, lang string, text string")
+    whole = triples.grounded(triples.adjacent_name_triples(docs)).drop("text")
+    assert sorted(map(tuple, triples.grounded_name_triples(docs).collect())) == sorted(map(tuple, whole.collect())) != []
+
+
 def test_judging_and_negatives(spark):
     rows = spark.createDataFrame([(1, 0, "a", "r", "x"), (1, 1, "a", "r", "y"), (2, 0, "b", "r", "z")], T4)
     verdicts = spark.createDataFrame([(1, 0, True), (1, 1, False)], "graph_id long, pos long, verdict boolean")

@@ -61,6 +61,13 @@ def short_judgment(response: Column, chars: int = 15) -> Column:
     return F.coalesce(~denied, F.lit(False))
 
 
+def scored_judgment(response: Column) -> tuple[Column, Column]:
+    """(verdict, confidence) of a classifier's answer such as `Yes, this is true. (confidence: 0.912)`; null where it has neither."""
+    word = F.lower(F.regexp_extract(response, r"^\s*(?i:(yes|no))\b", 1))
+    number = F.regexp_extract(response, r"\(confidence: ([0-9]*\.?[0-9]+)\)\s*$", 1)
+    return F.when(word != "", word == "yes"), F.when(number != "", number.cast("double"))
+
+
 def relation_definitions(text: Column) -> Column:
     """Entries (relation, definition) of lines with a colon; relation `Answer` is left out; of one relation the last stays."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.contains(x, F.lit(":")))

@@ -41,12 +41,14 @@ def first_sentences(rows: DataFrame, limit: int | None = None) -> DataFrame:
     each round is a plan over all rows instead of a walk over them.
     """
     left = cut(rows.select("pos", F.explode(F.array_distinct("relations")).alias("relation")))
-    chosen = None
+    chosen, rounds = None, 0
     while not left.isEmpty():
         firsts = left.groupBy("relation").agg(F.min("pos").alias("first"))
         marked = left.join(firsts, "relation")
         won = cut(marked.groupBy("pos").agg(F.min((F.col("pos") == F.col("first")).cast("int")).alias("all_first"), F.count("*").alias("n")).where("all_first = 1").select("pos", "n"))
+        rounds += 1
         chosen = won if chosen is None else chosen.unionByName(won)
+        chosen = cut(chosen) if rounds % 8 == 0 else chosen  # the plan stays short, however many rounds there are
         taken = left.join(won.select("pos"), "pos").select("relation").distinct()
         gone = left.join(taken, "relation", "left_semi").select("pos").distinct()
         left = cut(left.join(gone, "pos", "left_anti"))

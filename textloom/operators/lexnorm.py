@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.native import dot, strip_accents
+from textloom.functions.segment import split_udf
 
 # The special pieces of the protocol, the label of an abstaining rule and the smoothing of its votes.
 MASK, SPACE, FIRST, LAST = "<mask>", "<space>", "<s>", "</s>"
@@ -110,3 +111,55 @@ def downsampled(rows: DataFrame, id_col: str, n: int, seed: int = 0) -> DataFram
 def with_unaccented(rows: DataFrame, text: str) -> DataFrame:
     """Every row twice: its text without accents (augmented true), and as it is."""
     return rows.withColumn(text, strip_accents(F.col(text))).withColumn("augmented", F.lit(True)).unionByName(rows.withColumn("augmented", F.lit(False)))
+
+
+def nonstandard_spans(rows: DataFrame, by: str, pieces: str, flags: str) -> DataFrame:
+    """rows (by, pieces: texts of the tokens in order, flags: whether each is non-standard) -> merged spans of the flagged ones.
+
+    Offsets are code points of the joined pieces; spans that touch are one (by, begin, end, text).
+    """
+    place = lambda xs, i: F.aggregate(F.slice(xs, 1, i), F.lit(0), lambda a, x: a + F.length(x))
+    marked = F.transform(F.arrays_zip(F.col(pieces).alias("piece"), F.col(flags).alias("flag")), lambda x, i: F.struct(x["piece"].alias("text"), x["flag"].alias("flag"), place(F.col(pieces), i).alias("begin")))
+    found = rows.select(by, F.explode(F.filter(marked, lambda x: x["flag"])).alias("x")).select(by, "x.begin", (F.col("x.begin") + F.length("x.text")).alias("end"), "x.text")
+    return merged_spans(found, by)
+
+
+def word_confidence(pieces: Column) -> Column:
+    """Of a word whose pieces have a confidence each (a list), the least one."""
+    return F.array_min(pieces)
+
+
+def likeliest(probabilities: Column, k: int) -> Column:
+    """The k likeliest places of a list of probabilities, (place, probability), ties by place."""
+    pairs = F.transform(probabilities, lambda p, i: F.struct((-p).alias("order"), i.alias("place")))
+    return F.transform(F.slice(F.array_sort(pairs), 1, k), lambda x: F.struct(x["place"].alias("place"), (-x["order"]).alias("probability")))
+
+
+def best_epoch(epochs: DataFrame) -> DataFrame:
+    """The epoch of the highest performance, of equal ones the last: epochs (epoch, performance)."""
+    return epochs.agg(F.max_by("epoch", F.struct("performance", "epoch")).alias("epoch"), F.max("performance").alias("performance"))
+
+
+#: Tokens that a suggester takes at once, and the characters of a part where a text has more signs than LONG.
+MOST_TOKENS, LONG, PART = 768, 500, 500
+
+
+def suggested(texts: DataFrame, suggest: Column, tokens: Column, round_trip: Column) -> DataFrame:
+    """texts (id, text) -> id, suggestions and suggestion_status.
+
+    suggest: the model's list of (source, replacement, confidence) for column `part`; tokens and round_trip: how many
+    tokens `part` has, and whether they spell it again. A text that is too long is asked for in parts; parts that still
+    don't fit are skipped: status partial, or skipped where no part is left. Else suggested or unchanged.
+    """
+    fits = (tokens <= MOST_TOKENS) & round_trip
+    whole = texts.withColumn("part", F.col("text")).withColumn("fits", fits)
+    parts = whole.withColumn("part", F.explode(F.when(F.col("fits") | (F.length("text") <= LONG), F.array("text")).otherwise(split_udf("text", F.lit(PART)))))
+    asked = parts.withColumn("fits", fits).withColumn("found", F.when(F.col("fits"), suggest).otherwise(F.array()))
+    numbered = asked.select("id", "fits", F.explode_outer(F.when(F.size("found") > 0, F.col("found"))).alias("x")).select("id", "fits", "x.source", "x.replacement", "x.confidence", F.monotonically_increasing_id().alias("pos"))
+    kept = suggestions(numbered.where("source is not null").select(F.col("id").alias("doc_id"), "pos", "source", "replacement", "confidence"))
+    # at most twelve of a text
+    lists = kept.groupBy(F.col("doc_id").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "source", "replacement", "confidence"))), lambda x: F.struct(x["source"].alias("source"), x["replacement"].alias("replacement"), x["confidence"].alias("confidence"))).alias("suggestions"))
+    counts = asked.groupBy("id").agg(F.count("*").alias("n"), F.count(F.when(~F.col("fits"), 1)).alias("skipped"))
+    both = counts.join(lists, "id", "left")
+    status = F.when(F.col("n") == F.col("skipped"), "skipped").otherwise(suggestion_status(F.col("skipped"), F.coalesce(F.size("suggestions"), F.lit(0))))
+    return both.select("id", F.coalesce("suggestions", F.array().cast(both.schema["suggestions"].dataType)).alias("suggestions"), status.alias("suggestion_status"))

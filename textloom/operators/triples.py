@@ -22,6 +22,16 @@ def adjacent_name_triples(docs: DataFrame) -> DataFrame:
     return words.select("doc_id", "lang", "text", F.posexplode(pairs).alias("pos", "t")).select("doc_id", "lang", "text", "pos", "t.s", "t.p", "t.o")
 
 
+def grounded_name_triples(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, pos, s, p, o, label) of neighbouring capitalised words; the text is looked into where it is, not copied
+    to every triple."""
+    words = docs.select("doc_id", "lang", "text", spans(F.col("text"), CAPITALISED).alias("w"))
+    after = F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0)))
+    held = lambda a, b: F.contains(F.col("text"), a) & F.contains(F.col("text"), b)
+    pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), after, lambda a, b: F.struct(a.alias("s"), F.lit("followed_by").alias("p"), b.alias("o"), F.when(held(a, b), "YES").otherwise("NO").alias("label")))
+    return words.select("doc_id", "lang", F.posexplode(pairs).alias("pos", "t")).select("doc_id", "lang", "pos", "t.s", "t.p", "t.o", "t.label")
+
+
 def distinct_in_order(triples: DataFrame, *group: str) -> DataFrame:
     """One row per triple and group, with the place of its first occurrence."""
     return triples.groupBy(*group, "s", "p", "o").agg(F.min("pos").alias("pos"))
@@ -63,8 +73,13 @@ def match_accuracy(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     return normalised(predicted).join(known, list(KEY), "left").agg(F.round(F.avg(F.coalesce("hit", F.lit(0)).cast("double")), 6).alias("accuracy"), F.count("*").alias("n_pred"))
 
 
-def retention(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Triples before and after a filter, and what share stays, per graph."""
+def retention(before: DataFrame, after: DataFrame, fallback: str = "none") -> DataFrame:
+    """Triples before and after a filter, and what share stays, per graph. After it, a triple of three fallback cells, which
+    stands for a graph that couldn't be read, isn't counted; before it, it is."""
+    unread = F.lit(True)
+    for c in ("s", "p", "o"):
+        unread = unread & (F.lower(F.trim(c)) == fallback)
+    after = after.where(~F.coalesce(unread, F.lit(False)))
     both = before.select("graph_id", F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select("graph_id", F.lit(0).alias("b"), F.lit(1).alias("a")))
     return both.groupBy("graph_id").agg(F.sum("b").alias("n_before"), F.sum("a").alias("n_after")).withColumn("retained_pct", F.round(100.0 * F.col("n_after") / F.col("n_before"), 4))
 

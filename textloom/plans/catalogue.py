@@ -58,8 +58,8 @@ t AS (SELECT doc_id, lang, text, w[i] AS s, 'followed_by' AS p, w[i + 1] AS o FR
 
 @query(f"WITH {DOCS_TRIPLES_SQL} SELECT lang, count(*) AS n_triples FROM (SELECT DISTINCT doc_id, lang, s, p, o FROM t WHERE contains(text, s) AND contains(text, o)) GROUP BY lang")
 def grounded_triples_by_lang(t):
-    found = triples.adjacent_name_triples(t("documents"))
-    return triples.distinct_in_order(triples.grounded(found).where("label = 'YES'").drop("text"), "doc_id", "lang").groupBy("lang").agg(F.count("*").alias("n_triples"))
+    found = triples.grounded_name_triples(t("documents")).where("label = 'YES'")
+    return triples.distinct_in_order(found, "doc_id", "lang").groupBy("lang").agg(F.count("*").alias("n_triples"))
 
 
 def _spans(name: str, pattern: str, sql_pattern: str) -> None:
@@ -153,14 +153,21 @@ def segment_ids(t):
     return rows.select("conv_id", "turn", native.part_id(F.concat(F.lit("c"), "conv_id"), F.col("turn") + 1, F.col("n")).alias("segment_id"))
 
 
-@query()
+@query("SELECT page_id, true AS spaced, true AS no_tags, true AS no_blank_before_marks FROM pages WHERE NOT contains(html, '$')")
 def clean_pages(t):
-    return t("pages").select("page_id", clean.clean_text_udf("html").alias("text"))
+    """Every page without formulas, as what must hold after the cleanup: single blanks, none of the known tags, none before a mark."""
+    text = F.col("text")
+    tags = r"(?i)</?(p|div|span|strong|em|br|ul|ol|li|h[1-6]|sup|sub|a|img|section|article|tbody|thead|table|tr|td|th|details|summary)\b[^>]*>"
+    done = t("pages").where(~F.contains("html", F.lit("$"))).select("page_id", clean.clean_text_udf("html").alias("text"))
+    return done.select("page_id", (~F.rlike(text, F.lit(r"(?U)^\s|\s\s|\s$"))).alias("spaced"), (~F.rlike(text, F.lit(tags))).alias("no_tags"), (~F.rlike(text, F.lit(r"(?U)\s[,.;:!?]"))).alias("no_blank_before_marks"))
 
 
-@query()
+@query("SELECT page_id, true AS no_comments, true AS single_gaps, true AS no_trailing_blanks FROM pages WHERE NOT contains(html, '$')")
 def clean_book_pages(t):
-    return t("pages").select("page_id", clean.clean_book_udf("html").alias("text"))
+    """Every page without formulas as a book: no comments, one blank line at most between lines, no blanks before a line feed."""
+    text = F.col("text")
+    done = t("pages").where(~F.contains("html", F.lit("$"))).select("page_id", clean.clean_book_udf("html").alias("text"))
+    return done.select("page_id", (~F.contains(text, F.lit("<!--"))).alias("no_comments"), (~F.contains(text, F.lit("\n\n\n"))).alias("single_gaps"), (~F.rlike(text, F.lit(r"[ \t]\n"))).alias("no_trailing_blanks"))
 
 
 # what SQL can state of cuts: pieces hold the text's words in order, fit the limit unless a word or formula is longer, and

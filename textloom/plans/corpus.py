@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from textloom.functions import native, parsing
 from textloom.functions.clean import clean_text_udf
 from textloom.functions.segment import split_udf
-from textloom.plans import agents
+from textloom.plans import agents, model_stage
 from textloom.plans.lineage import cut
 from textloom.plans.model_stage import asked
 
@@ -124,3 +124,16 @@ def graph(segments: DataFrame, judgments: DataFrame) -> DataFrame:
     ready = segments.where("status = 'ready'").select("id", "source_id", "source_line", "metadata", "clean_text")
     none = F.array().cast("array<struct<pos:int,s:string,p:string,o:string,label:string,response:string>>")
     return ready.join(per, "id", "left").withColumn("judgments", F.coalesce("judgments", none))
+
+
+def judged_prompts(prompts: DataFrame, model: Backend, chars: int = 100, **options) -> DataFrame:
+    """prompts (prompt, ...) -> with generated, error and verdict: false where the answer's first characters deny, null where
+    the call failed (the error is data, not an answer). Distinct prompts are called once, many at a time."""
+    keyed = model_stage.with_prompt_id(prompts, "judge")
+    told = cut(model_stage.call(keyed.select("prompt_id", "prompt").distinct(), model, **options)).select("prompt_id", F.col("response").alias("generated"), "error")
+    return keyed.join(told, "prompt_id").drop("prompt_id").withColumn("verdict", F.when(F.col("error").isNull(), native.prefix_judgment(F.col("generated"), chars)))
+
+
+def described(graphs: DataFrame, model: Backend, **options) -> DataFrame:
+    """graphs (graph_id, triples) -> graph_id, description, error: a text for each graph."""
+    return asked(graphs.select("graph_id", "triples"), "describe", model, F.col("triples"), **options).select("graph_id", F.col("response").alias("description"), "error")

@@ -224,6 +224,14 @@ def test_token_store(docs, empty, spark, tmp_path):
     assert tokenstore.op6(empty).count() == 0
 
 
+def test_token_store_puts_null_ids_first_and_ties_by_text(spark, tmp_path):
+    rows_ = [(None, "b b"), (3, "x"), (None, "a"), (None, "b b"), (1, None), (1, "y z"), (-5, "low")]
+    got = tokenstore.op6(spark.createDataFrame(rows_, "doc_id long, text string").repartition(4), str(tmp_path / "nulls")).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, None, None, -5, 1, 1, 3] and [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
+    same = Counter((r["n_tokens"], r["ids_crc32"]) for r in got if r["doc_id"] is None)
+    assert sorted(same.values()) == [1, 2]
+
+
 def test_pieces_encode_as_whole_texts():
     e = tokenstore.encoder(tokenstore.default_tokenizer())
     texts = ["a  b\n\n c", " lead", "trail  \n", "it's we'll", "\n", "x\t y", "1 2,3!? é z", "a   b", "tab\x1c x", "日本 語"]
@@ -433,6 +441,13 @@ def test_language_id(docs, empty, spark):
     assert row["a"] > 0.95
 
 
+def test_without_labels_every_language_is_undetermined(docs):
+    from pyspark.sql import functions as F
+
+    got = langid.op1(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert len(got) == len(TEXTS) and {(r["lang_pred"], r["score"]) for r in got} == {("und", 0.0)}
+
+
 def brute_languages(net, texts):
     """The network of whole texts, window after window, filter after filter, in plain loops."""
     out = []

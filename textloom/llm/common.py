@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(conf)
         return conf
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
     return sc.getCheckpointDir()
 

@@ -93,11 +93,12 @@ def length_ratio_guard(t):
     return t("documents").select("doc_id", n("text").alias("n_old"), n(new).alias("n_new"), n(new).between(0.6 * n("text"), 1.4 * n("text")).alias("ok"))
 
 
-@query()
+@query("SELECT doc_id, coalesce(length(text) > 0, false) AS same, coalesce(length(text) > 0 AND NOT regexp_matches(text, '[0-9]'), false) AS digits_changed, false AS cut_short FROM documents")
 def safe_correction(t):
-    """Whether dropping articles would be a safe correction of each document."""
-    new = F.regexp_replace("text", r"\b(the|de|la) ", "")
-    return t("documents").select("doc_id", parsing.safe_udf("text", new).alias("safe"))
+    """Whether three changes of each document would be safe corrections: none, every digit raised, all but a third cut off."""
+    raised = F.translate("text", "0123456789", "1234567890")
+    short = F.substr(F.col("text"), F.lit(1), F.floor(F.length("text") / 3).cast("int"))
+    return t("documents").select("doc_id", parsing.safe_udf("text", "text").alias("same"), parsing.safe_udf("text", raised).alias("digits_changed"), parsing.safe_udf("text", short).alias("cut_short"))
 
 
 # relation lists as a model writes them: of a nation its suppliers' segments, one of them twice, an answer line, one without a colon

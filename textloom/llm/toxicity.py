@@ -9,14 +9,15 @@ difference of two log-likelihoods the shared factor cancels, so scoring needs th
 
 A logistic curve over that difference, fitted on the training texts, gives the probability.
 
-Defined results: a null or empty text scores as the training prior. Without training labels of both classes every
+Defined results: a null or empty text scores as the training prior. Very long texts are learnt and scored whole. Empty
+tables give empty results; further columns are ignored. A score of exactly one half counts as toxic. Without training labels of both classes every
 text gets score 0. Null and repeated ids: each row by its own text. Labels repeated for an id: toxic if any is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -135,52 +136,88 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k[cut], np.add.reduceat(values[order], cut, axis=0) if len(k) else values
 
 
+@dataclass
+class Grams:
+    """Distinct n-grams of the highest order: key, counts by class, below[k] (hash of its last k symbols, k from 1), before[k]
+    (hash of the k - 1 symbols before its last, k from 1)."""
+
+    key: np.ndarray
+    counts: np.ndarray
+    below: dict[int, np.ndarray]
+    before: dict[int, np.ndarray]
+
+    def merged(self) -> Grams:
+        keys, counts = _sums(self.key, self.counts)
+        _, one = np.unique(self.key, return_index=True)
+        return Grams(keys, counts, {k: v[one] for k, v in self.below.items()}, {k: v[one] for k, v in self.before.items()})
+
+
+#: Words whose n-grams are taken at a time.
+BLOCK = 50_000
+
+
+def grams_of(words: list[bytes], counts: np.ndarray, order: int) -> Grams:
+    """All distinct n-grams; what is held grows with these, not with the words."""
+    have: list[Grams] = []
+    for i in range(0, max(len(words), 1), BLOCK):
+        symbols, begins = pad(words[i : i + BLOCK], order)
+        at = positions(symbols, begins, order)
+        h = gram_hashes(symbols, order)
+        below = {k: h[k][at] for k in range(1, order)}
+        before = {k: h[k - 1][at - 1] if k > 1 else np.zeros(len(at), np.uint64) for k in range(1, order + 1)}
+        word = np.searchsorted(begins, at, "right") - 1
+        have.append(Grams(h[order][at], counts[i : i + BLOCK][word].astype(float), below, before).merged())
+        if len(have) > 8:
+            have = [_joined(have)]
+    return _joined(have)
+
+
+def _joined(parts: list[Grams]) -> Grams:
+    if len(parts) == 1:
+        return parts[0]
+    glue = lambda pick: {k: np.concatenate([pick(p)[k] for p in parts]) for k in pick(parts[0])}
+    return Grams(np.concatenate([p.key for p in parts]), np.concatenate([p.counts for p in parts]), glue(lambda p: p.below), glue(lambda p: p.before)).merged()
+
+
 def estimate(words: list[bytes], counts: np.ndarray, order: int = 5, discount: float = 0.75) -> KneserNey:
     """counts: for each word its number in (ordinary, toxic) texts."""
-    symbols, begins = pad(words, order)
-    inside = positions(symbols, begins, order)
-    word = np.searchsorted(begins, inside, "right") - 1
-    h = gram_hashes(symbols, order)
-    top, ctx, here = h[order][inside], h[order - 1][inside - 1], counts[word].astype(float)
-    grams, a = _sums(top, here)
-    _, index = np.unique(top, return_index=True)
-    gram_ctx = ctx[index]
-    contexts, total = _sums(gram_ctx, np.concatenate([a, (a > 0).astype(float)], axis=1))
-    of = np.searchsorted(contexts, gram_ctx)
-    shared, below = [], [(top, inside)]
+    g = grams_of(words, counts, order)
+    contexts, total = _sums(g.before[order], np.concatenate([g.counts, (g.counts > 0).astype(float)], axis=1))
+    of = np.searchsorted(contexts, g.before[order])
+    shared, rows = [], np.arange(len(g.key))
     for k in range(order - 1, 0, -1):
-        # a continuation count: how many distinct symbols stand before the n-gram
-        upper, at = below[-1]
-        _, one = np.unique(upper, return_index=True)
-        at = at[one]
-        keys = h[k][at]
-        g, n = _sums(keys, np.ones(len(keys)))
-        _, one = np.unique(keys, return_index=True)
-        c = h[k - 1][at[one] - 1] if k > 1 else np.zeros(len(one), np.uint64)
-        cs, t = _sums(c, np.stack([n, np.ones(len(n))], axis=1))
-        shared[:0] = [(g, n), (cs, t)]
-        below.append((keys, at))
-    model = KneserNey(order, discount, grams, np.zeros(len(grams)), contexts, np.zeros(len(contexts)), a, total, shared, np.zeros(3))
+        # a continuation count: how many distinct symbols stand before the n-gram; rows: one of each n-gram of the order above
+        keys, n = _sums(g.below[k][rows], np.ones(len(rows)))
+        _, one = np.unique(g.below[k][rows], return_index=True)
+        rows = rows[one]
+        cs, t = _sums(g.before[k][rows], np.stack([n, np.ones(len(n))], axis=1))
+        shared[:0] = [(keys, n), (cs, t)]
+    model = KneserNey(order, discount, g.key, np.zeros(len(g.key)), contexts, np.zeros(len(contexts)), g.counts, total, shared, np.zeros(3))
     weight = np.where(total[:, :2] > 0, discount * total[:, 2:] / np.maximum(total[:, :2], 1), 1.0)
     model.context_ratio = np.log(weight[:, 1]) - np.log(weight[:, 0])
-    base = _shared_all(model, h, inside[index])
-    p = np.where(total[of, :2] > 0, (np.maximum(a - discount, 0) + discount * total[of, 2:] * base[:, None]) / np.maximum(total[of, :2], 1), base[:, None])
+    base = _shared_all(model, g)
+    p = np.where(total[of, :2] > 0, (np.maximum(g.counts - discount, 0) + discount * total[of, 2:] * base[:, None]) / np.maximum(total[of, :2], 1), base[:, None])
     model.gram_ratio = np.log(p[:, 1]) - np.log(p[:, 0])
     return model
 
 
-def _shared_all(model: KneserNey, h: list[np.ndarray], at: np.ndarray) -> np.ndarray:
-    p = np.full(len(at), 1 / 257)
+def _shared_all(model: KneserNey, g: Grams) -> np.ndarray:
+    p = np.full(len(g.key), 1 / 257)
     for k in range(1, model.order):
         grams, contexts = model.shared[2 * (k - 1)], model.shared[2 * (k - 1) + 1]
-        ctx = h[k - 1][at - 1] if k > 1 else np.zeros(len(at), np.uint64)
-        a = _look_up(grams[0], grams[1], h[k][at], 0.0)
-        total = _look_up(contexts[0], contexts[1][:, 0], ctx, 0.0)
-        kinds = _look_up(contexts[0], contexts[1][:, 1], ctx, 0.0)
+        a = _look_up(grams[0], grams[1], g.below[k], 0.0)
+        total = _look_up(contexts[0], contexts[1][:, 0], g.before[k], 0.0)
+        kinds = _look_up(contexts[0], contexts[1][:, 1], g.before[k], 0.0)
         p = np.where(total > 0, (np.maximum(a - model.discount, 0) + model.discount * kinds * p) / np.maximum(total, 1), p)
     return p
 
 
+def scoring(model: KneserNey) -> KneserNey:
+    """The model without its counts, which scoring doesn't read."""
+    none = np.zeros((0, 4))
+    return replace(model, gram_counts=none, context_counts=none, shared=[])
+
+
 def differences(model: KneserNey, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text: mean by symbols of the log-likelihood difference, mean of its words' positive parts by words, words."""
     n = np.diff(w.first)
@@ -243,7 +280,7 @@ def word_counts(sample: DataFrame) -> tuple[list[bytes], np.ndarray]:
 
 def measured(sample: DataFrame, model: KneserNey) -> tuple[np.ndarray, np.ndarray]:
     """Features and class of each text of the sample, in an order of their own."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = sample.sparkSession.sparkContext.broadcast(scoring(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,7 +344,7 @@ def rate(docs: DataFrame, model: KneserNey | None, keep: list[str] | None = None
     """doc_id and the columns named in keep, with score and predicted, for every row."""
     names = ["doc_id", *(keep or [])]
     rows = docs.select(*names, "text") if "text" not in names else docs.select(*names)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else scoring(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -51,7 +51,7 @@ def test_feedback_rules_and_formulas(spark):
     def writer(prompt):
         p = json.loads(prompt)
         text = "the sum is $x$ now" if "keep formulas" in p["rules"] else "the sum is gone"
-        return json.dumps({"action": "rewrite", "text": text, "answer": None, "explanation": None, "reason": ""})
+        return json.dumps({"action": "rewrite", "text": text, "answer": None, "explanation": None, "reason": "checked"})
 
     def passing(prompt):
         return '{"passed": true, "feedback": ""}'

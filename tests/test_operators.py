@@ -1,7 +1,9 @@
 import json
 import os
 import random
+import time
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -292,3 +294,58 @@ def test_partitioning_does_not_matter(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     counts = [triples.distinct_in_order(triples.adjacent_name_triples(docs.repartition(n)), "doc_id").count() for n in (1, 7)]
     assert counts[0] == counts[1] and isinstance(pd.Series(counts).sum().item(), int)
+
+
+def dense(gold, pred, measure):
+    score = [[measure(a, b) for b in graphs.edges_of(pred)] for a in graphs.edges_of(gold)]
+    return sum(score[i][j] for i, j in graphs.assignment(np.array(score)))
+
+
+def test_classes_of_edges_match_as_the_edges_do(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(120):
+        monkeypatch.setattr(graphs, "LINKED", rng.choice([0, 1, 4, 64]))
+        words = [f"w{i}" for i in range(rng.choice([2, 5, 20]))]
+        edge = lambda: tuple(" ".join(rng.choices(words, k=rng.choice([0, 1, 1, 2]))) for _ in range(3))  # noqa: E731, B023
+        gold = [edge() for _ in range(rng.randrange(1, 12))]
+        pred = [rng.choice(gold) if rng.random() < 0.5 else edge() for _ in range(rng.randrange(1, 12))]
+        for measure in (graphs.bleu, graphs.rouge2_precision):
+            assert graphs.matched(gold, pred, measure)[0] * len(pred) == pytest.approx(dense(gold, pred, measure))
+        size = max(len(gold), len(pred))
+        score = graphs.SCORES[:, :, 2].mean(axis=1)[graphs.slot_outcomes(*(x + [("",) * 3] * (size - len(x)) for x in (gold, pred))) @ [64, 8, 1]]
+        best = sum(score[i, j] for i, j in graphs.assignment(score)) / size
+        assert sum(r[9] for r in graphs.slot_table(gold, pred) if r[1] == "ALL") / 4 == pytest.approx(best)
+
+
+def town(n, wrong=()):
+    """Two facts of each of n people; of those in wrong the first has the second's object."""
+    return [t for i in range(n) for t in ((f"person {i}", "lives_in", f"trade{i % 5}" if i in wrong else "far away"), (f"person {i}", "works_for", f"trade{i % 5}"))]
+
+
+def test_large_graphs_are_scored_whole():
+    """6,000 edges: 36 million pairs, that were scored one by one."""
+    n = 3000
+    began = time.perf_counter()
+    gold, pred = town(n), town(n, range(0, n, 3))
+    precision, recall, f1 = graphs.matched(gold, pred, graphs.rouge2_precision)
+    assert precision == recall == pytest.approx(f1) == pytest.approx((5000 + 1000 * 2 / 3) / 6000)  # of `person 0 lives_in trade0` two of three pairs of words are gold's
+    rows = {r[:2]: r[2:] for r in graphs.slot_table(gold, pred)}
+    assert rows["exact", "ALL"][:5] == (17000, 0, 0, 1000, 1000) and rows["strict", "OBJ"][:5] == (5000, 0, 0, 1000, 1000)
+    assert time.perf_counter() - began < 30
+
+
+def test_large_graphs_are_isomorphic_or_not():
+    other = lambda rows: [(f"x {s}", p, f"x {o}") for s, p, o in rows[::-1]]
+    rows = town(2000)
+    assert graphs.isomorphic(rows, other(rows)) and not graphs.isomorphic(rows, other(town(2000, [7])))
+    ring = [(f"a{i}", "r", f"a{(i + 1) % 6}") for i in range(6)]
+    assert not graphs.isomorphic(ring, [(f"b{i}", "r", f"b{i // 3 * 3 + (i + 1) % 3}") for i in range(6)])  # two rings look alike from every node
+
+
+def test_units_are_carried_as_one_by_one():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        score, supply, demand = rng.integers(0, 5, (3, 4)) / 4, rng.integers(1, 4, 3), rng.integers(1, 4, 4)
+        flow, each = graphs.transported(score, supply, demand), np.repeat(np.repeat(score, supply, 0), demand, 1)
+        assert (flow >= 0).all() and flow.sum() == min(supply.sum(), demand.sum()) and (flow.sum(1) <= supply).all() and (flow.sum(0) <= demand).all()
+        assert (flow * score).sum() == pytest.approx(sum(each[i, j] for i, j in graphs.assignment(each)))

@@ -1,12 +1,16 @@
 """The chain from records to a verified graph, with offline models."""
 
+import hashlib
 import json
 import os
+import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.functions import native
+from textloom.functions import native, parsing
 from textloom.plans import corpus, edc
 from textloom.plans.progress import progress
 from textloom.sources import sinks
@@ -168,3 +172,64 @@ def test_progress_holds_no_texts(caplog):
     for bad in ("two words", "x" * 65, ["list"]):
         with pytest.raises(ValueError, match="short name"):
             progress("chunk", text=bad)
+
+
+def test_a_long_text_is_not_copied_to_its_triples(spark):
+    """8,000 triples of 1 MB of text, half of them asked about: 4 GB of prompts, if each were written out."""
+    text = "Bob Ann " * 4000 + "word " * 200_000
+    docs = spark.createDataFrame([("d", text), ("e", text)], "index string, input_text string")
+    schema = spark.createDataFrame([("followed_by", "one name followed by another"), ("lives_in", "a place")], SCHEMA)
+    began = time.perf_counter()
+    stages, _ = edc.refined(docs, schema, edc.offline)
+    got = stages.select("index", F.explode("canonical").alias("t")).groupBy("index").agg(F.count("t.p").alias("known"), F.count("*").alias("n")).collect()
+    assert sorted(map(tuple, got)) == [("d", 3999, 7999), ("e", 3999, 7999)] and time.perf_counter() - began < 60
+
+
+def test_equal_texts_are_asked_once_and_all_get_results(spark):
+    texts = [*TEXTS, ("d5", TEXTS[0][1]), ("d0", TEXTS[0][1]), ("d6", None), ("d7", None)]
+    docs = spark.createDataFrame(texts, "index string, input_text string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompt):
+        calls.add(1)
+        return edc.offline(prompt)
+
+    schema = spark.createDataFrame([("followed_by", "one name followed by another")], SCHEMA)
+    plain, grown = edc.refined(docs, schema, model, enrich=True)
+    assert calls.value == 5 + 2 + 2  # triples of five texts (a missing one fails), definitions of two, two unknown triples
+    with_fields, _ = edc.refined(docs, schema, edc.offline, enrich=True)
+    assert canonical(plain) == canonical(with_fields) and len(canonical(plain)) == 8
+    assert canonical(plain)["d0"] == canonical(plain)["d1"] == canonical(plain)["d5"] == [("Ann", "followed_by", "Bob"), ("Bob", "followed_by", "Bob"), ("Bob", "comes_after", "Ann")]
+    assert {r["relation"] for r in grown.collect()} == {"followed_by", "comes_after"} and canonical(plain)["d6"] == []
+
+
+def test_embeddings_equal_a_walk_over_their_grams():
+    for text in ("", "a", "ab", "Ann met Ann, ßİ 𝔘nd so on " * 5):
+        for size in (1, 2, 3, 4):
+            want, padded = np.zeros(edc.DIMENSIONS, np.float32), f" {text.lower()} "
+            for i in range(max(1, len(padded) - size + 1)):
+                h = int.from_bytes(hashlib.blake2b(padded[i : i + size].encode(), digest_size=8).digest(), "little")
+                want[h % edc.DIMENSIONS] += 1.0 if h >> 32 & 1 else -1.0
+            length = float(np.linalg.norm(want))
+            assert edc.hashed_grams(text, size).tolist() == (want / length if length else want).tolist()
+
+
+def test_plain_triples_are_read_as_literals_are():
+    def walked(text):
+        opened, found = [], []
+        for i, c in enumerate(text):
+            if c == "[":
+                opened.append(i)
+            elif c == "]" and opened:
+                value = parsing._literal(text[opened.pop() : i + 1])
+                if isinstance(value, list) and len(value) == 3:
+                    cells = [", ".join(map(str, v)) if isinstance(v, list) else v for v in value]
+                    if all(isinstance(v, str) and v.strip() and v.strip() != "_" for v in cells):
+                        found.append(tuple(v.strip() for v in cells))
+        return found
+
+    rng, bits = random.Random(5), ['"', '"a', "b", '", "', "[", "]", '["a", "r", "b"]', ", ", "'", "\\n", "\n", "\x00", " ", '"_"', "#", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choices(bits, k=rng.randrange(12)))
+        assert parsing.triples(text) == walked(text), text
+    assert parsing.triples('x [" Ann", "met", "Bob "] ["a", "_", "b"]') == [("Ann", "met", "Bob")]

@@ -8,8 +8,10 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.plans.lineage import cut
 
@@ -53,8 +55,20 @@ def call(prompts: DataFrame, backend: Callable[[str], str], tries: int = 3, unit
     At most `concurrency` calls run at once in a task. A call that takes longer than timeout seconds counts as a
     TimeoutError and is tried again. unit: seconds that the wait before another try is made of.
     """
+    ask = asker(backend, tries, unit, timeout, retried)
 
-    def ask(key: str, prompt: str) -> tuple:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(concurrency) as pool:
+            for batch in batches:
+                yield pd.DataFrame(list(pool.map(ask, batch["prompt_id"], batch["prompt"])), columns=["prompt_id", "response", "error", "attempts"])
+
+    return prompts.mapInPandas(run, ANSWERS)
+
+
+def asker(backend: Callable, tries: int = 3, unit: float = 0.0, timeout: float | None = None, retried: tuple[type[Exception], ...] = RETRIED) -> Callable[[str, object], tuple]:
+    """A function of a key and a prompt: (key, response, error, attempts)."""
+
+    def ask(key: str, prompt: object) -> tuple:
         for attempt in range(1, tries + 1):
             try:
                 return key, _timed(backend, prompt, timeout), None, attempt
@@ -65,12 +79,33 @@ def call(prompts: DataFrame, backend: Callable[[str], str], tries: int = 3, unit
                 time.sleep(wait_of(key, attempt, unit))
         return key, None, "no tries", 0
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return ask
+
+
+def at_once(pool: ThreadPoolExecutor, ask: Callable, jobs: list[tuple], concurrency: int) -> list[tuple]:
+    """Answers of jobs (key, prompt) in their order, a share of them to each thread."""
+    shares = pool.map(lambda k: [ask(*job) for job in jobs[k::concurrency]], range(min(concurrency, len(jobs))))
+    out: list = [None] * len(jobs)
+    for k, share in enumerate(shares):
+        out[k::concurrency] = share
+    return out
+
+
+def in_place(rows: DataFrame, backend: Callable[[str], str], concurrency: int = 8, **options) -> DataFrame:
+    """rows (prompt, ...) with response and error instead of prompt, asked where they lie; a null prompt isn't asked."""
+    schema = T.StructType([f for f in rows.schema if f.name != "prompt"]).add("response", "string").add("error", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask = asker(backend, **options)
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                yield pd.DataFrame(list(pool.map(ask, batch["prompt_id"], batch["prompt"])), columns=["prompt_id", "response", "error", "attempts"])
+                prompts = batch.column("prompt").to_pylist()
+                told = dict(zip((i for i, p in enumerate(prompts) if p is not None), at_once(pool, ask, [(p, p) for p in prompts if p is not None], concurrency)))
+                columns = {name: batch.column(name) for name in batch.schema.names if name != "prompt"}
+                columns |= {name: pa.array([told[i][k] if i in told else None for i in range(len(prompts))], pa.string()) for k, name in ((1, "response"), (2, "error"))}
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return prompts.mapInPandas(run, ANSWERS)
+    return rows.mapInArrow(run, schema)
 
 
 def _timed(backend: Callable[[str], str], prompt: str, timeout: float | None) -> str:
@@ -83,11 +118,18 @@ def _timed(backend: Callable[[str], str], prompt: str, timeout: float | None) ->
         alone.shutdown(wait=False, cancel_futures=True)
 
 
-def asked(rows: DataFrame, task: str, backend: Callable[[str], str], *fields: Column, **options) -> DataFrame:
-    """rows with response and error; the prompt is a JSON object of the task's name and the fields. Equal prompts are called once."""
-    keyed = with_prompt_id(rows.withColumn("prompt", F.to_json(F.struct(F.lit(task).alias("task"), *fields))), task)
-    answers = cut(call(keyed.select("prompt_id", "prompt").distinct(), backend, **options))
-    return keyed.join(answers.select("prompt_id", "response", "error"), "prompt_id").drop("prompt_id", "prompt")
+def asked(rows: DataFrame, task: str, backend: Callable[[str], str], *fields: Column, unlike: bool = False, where: Column | None = None, **options) -> DataFrame:
+    """rows with response and error; the prompt is a JSON object of the task's name and the fields. Equal prompts are called once.
+
+    unlike: no two rows have equal prompts, so they are asked where they lie. where: rows that are asked at all.
+    """
+    prompt = F.to_json(F.struct(F.lit(task).alias("task"), *fields))
+    rows = rows.withColumn("prompt", prompt if where is None else F.when(where, prompt))
+    if unlike:
+        return in_place(rows, backend, **options)
+    keyed = with_prompt_id(rows, task)
+    answers = cut(call(keyed.where("prompt is not null").select("prompt_id", "prompt").distinct(), backend, **options))
+    return keyed.join(answers.select("prompt_id", "response", "error"), "prompt_id", "left").drop("prompt_id", "prompt")
 
 
 def answered(rows: DataFrame, model: str, backend: Callable[[str], str], cache_path: str) -> DataFrame:

@@ -349,3 +349,15 @@ def test_units_are_carried_as_one_by_one():
         flow, each = graphs.transported(score, supply, demand), np.repeat(np.repeat(score, supply, 0), demand, 1)
         assert (flow >= 0).all() and flow.sum() == min(supply.sum(), demand.sum()) and (flow.sum(1) <= supply).all() and (flow.sum(0) <= demand).all()
         assert (flow * score).sum() == pytest.approx(sum(each[i, j] for i, j in graphs.assignment(each)))
+
+
+def test_few_vectors_go_to_every_block_and_many_to_groups(spark, monkeypatch):
+    monkeypatch.setattr(triples, "QUERY_BLOCK", 8)
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 3)]) for i in range(50)], "vec_id long, embedding array<float>").repartition(3)
+    asking = df.selectExpr("vec_id as query_id", "embedding")
+    few = triples.top_k(asking, df, 4)
+    monkeypatch.setattr(triples, "TILE", 16)
+    many = triples.top_k(asking, df, 4)
+    plan = lambda x: x._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan(few) and "explode" in plan(many)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 200

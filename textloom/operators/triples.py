@@ -120,14 +120,17 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
 
     Queries are packed into blocks, vectors where they lie into tiles; blocks go to every group of tiles, so a task
     multiplies one block with one tile at a time and keeps k vectors for each query and block it has open. Neither side
-    passes through the driver, and no pair is made a row that isn't among a task's k best.
+    passes through the driver, and no pair is made a row that isn't among a task's k best. Vectors that fit one tile go
+    to every block instead.
     """
     spark = queries.sparkSession
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     some = queries.where("embedding is not null").select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     blocks = max(1, -(-some.count() // QUERY_BLOCK))
     packed = some.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("query_id", "embedding")).alias("q"))  # about QUERY_BLOCK each
-    sent = packed.select("block", F.transform("q", lambda x: x["query_id"]).alias("names"), F.flatten(F.transform("q", lambda x: x["embedding"])).alias("wanted"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    sent = packed.select("block", F.transform("q", lambda x: x["query_id"]).alias("names"), F.flatten(F.transform("q", lambda x: x["embedding"])).alias("wanted"))
+    held = vectors.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    few = len(held.limit(TILE + 1).select("vec_id").take(TILE + 1)) <= TILE
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId()
@@ -138,7 +141,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part.column("vec_id"), column.flatten())]
                 yield pa.RecordBatch.from_arrays([pa.array([turn % groups], pa.int32()), *lists], ["group", "ids", "held"])
 
-    cut_up = vectors.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(tiles, "group int, ids array<long>, held array<double>")
+    cut_up = held.mapInArrow(tiles, "group int, ids array<long>, held array<double>")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_blocks: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -162,7 +165,9 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         for block in list(open_blocks):
             yield out(block)
 
-    found = sent.join(cut_up, "group").select("block", "names", "wanted", "ids", "held").mapInArrow(best, NEAR)
+    to_each = sent.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    met = sent.crossJoin(F.broadcast(cut_up)) if few else to_each.join(cut_up, "group")  # TILE vectors at most
+    found = met.select("block", "names", "wanted", "ids", "held").mapInArrow(best, NEAR)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 

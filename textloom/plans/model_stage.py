@@ -91,6 +91,10 @@ def at_once(pool: ThreadPoolExecutor, ask: Callable, jobs: list[tuple], concurre
     return out
 
 
+#: Prompts of whole texts, or documents with their triples, that a task holds at once.
+HELD = 256
+
+
 def in_place(rows: DataFrame, backend: Callable[[str], str], concurrency: int = 8, **options) -> DataFrame:
     """rows (prompt, ...) with response and error instead of prompt, asked where they lie; a null prompt isn't asked."""
     schema = T.StructType([f for f in rows.schema if f.name != "prompt"]).add("response", "string").add("error", "string")
@@ -98,7 +102,7 @@ def in_place(rows: DataFrame, backend: Callable[[str], str], concurrency: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = asker(backend, **options)
         with ThreadPoolExecutor(concurrency) as pool:
-            for batch in batches:
+            for batch in (whole.slice(k, HELD) for whole in batches for k in range(0, whole.num_rows, HELD)):
                 prompts = batch.column("prompt").to_pylist()
                 told = dict(zip((i for i, p in enumerate(prompts) if p is not None), at_once(pool, ask, [(p, p) for p in prompts if p is not None], concurrency)))
                 columns = {name: batch.column(name) for name in batch.schema.names if name != "prompt"}
